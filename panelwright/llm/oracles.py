@@ -1,5 +1,29 @@
 """DuckDB SQL for those queries whose rows SQL can express."""
 
+OP1_LINE_DEDUP = """
+WITH lines AS (
+  SELECT doc_id, i - 1 AS pos, l[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL) t, range(1, len(l) + 1) r(i)
+), inked AS (
+  SELECT doc_id, pos, line, row_number() OVER w - 1 AS k, count(*) OVER (PARTITION BY doc_id) AS n,
+         lead(line, 1) OVER w AS l1, lead(line, 2) OVER w AS l2, lead(pos, 1) OVER w AS a1, lead(pos, 2) OVER w AS a2
+  FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), windows AS (
+  SELECT doc_id, pos AS first, coalesce(a2, a1, pos) AS last, [line, l1, l2] AS w FROM inked WHERE k <= greatest(n - 3, 0)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, first) AS r FROM windows
+), gone AS (
+  SELECT DISTINCT l.doc_id, l.pos FROM lines l JOIN ranked w ON w.doc_id = l.doc_id AND w.r > 1 AND l.pos BETWEEN w.first AND w.last
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text, bool_or(regexp_matches(l.line, '[^\\x20\\x09-\\x0D]')) AS inked
+  FROM lines l ANTI JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id
+), counts AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed FROM lines l LEFT JOIN gone g USING (doc_id, pos) GROUP BY l.doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL WHEN c.n_removed = 0 THEN d.text WHEN k.inked THEN k.text ELSE '' END AS text,
+       coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
 OP10_EXACT_TOP_K = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings

@@ -13,6 +13,21 @@ def _read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFr
     return df.select(*columns) if columns else df
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the lines of repeated three-line windows."""
+    from panelwright.llm.line_dedup import dedup_lines
+
+    return dedup_lines(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts, the posterior probability of good quality and the verdict of every document."""
+    from panelwright.llm.quality import quality
+
+    rows = quality(_read(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best others of every vector whose id is divisible by 50."""
     from panelwright.llm.topk import top_k
