@@ -87,6 +87,8 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "n_short_words": F.col("w.n_short_words"),
         "n_upper": F.regexp_count("text", F.lit(r"\p{Lu}")),
         "n_marks": F.regexp_count("text", F.lit(r"[!?]")),
+        "n_symbol_runs": F.regexp_count("text", F.lit(r"[#*$%&|<>]+")),
+        "n_others": F.regexp_count("text", F.lit(r"[^\p{L}\p{M}\x20\x09-\x0D]")),
         "n_digits": F.regexp_count("text", F.lit(r"[0-9]")),
     }
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), words.alias("w"), lines.alias("l"))
@@ -112,7 +114,9 @@ def default_rules() -> list[Rule]:
     """Rules over the columns of ``measures``."""
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
     return [
-        Rule("symbols", share("n_symbols", "n_words"), 0.10, 0.40),
+        Rule("symbols", share("n_symbols", "n_words"), 0.05, 0.30),
+        Rule("symbol_runs", share("n_symbol_runs", "n_words"), 0.05, 0.25),
+        Rule("others", share("n_others", "n_words"), 0.30, 0.45),
         Rule("repeats", share("n_repeat_words", "n_words"), 0.10, 0.30),
         Rule("same_lines", share("n_dup_lines", "n_lines"), 0.15, 0.40),
         Rule("upper", share("n_upper", "word_chars"), 0.15, 0.40),
@@ -141,11 +145,11 @@ class VoteModel:
 def fit_votes(histogram: dict[tuple[int, ...], int], n_rules: int) -> VoteModel:
     """Expectation-maximisation of a two-class mixture whose rules vote independently within a class.
 
-    Abstaining carries no weight. It starts from rules that are right nine times in ten, and one pseudo-document a
-    class and vote keeps every rate off 0 and 1.
+    Abstaining carries no weight. The start says what the rules are for: a bad vote is rare on good documents, while
+    each kind of junk trips only some of the rules. One pseudo-document a class and vote keeps every rate off 0 and 1.
     """
     prior = 0.8
-    rates = [[[0.9, 0.1], [0.1, 0.9]] for _ in range(n_rules)]
+    rates = [[[0.25, 0.75], [0.005, 0.995]] for _ in range(n_rules)]
     total, last = sum(histogram.values()), -math.inf
     for _ in range(EM_STEPS if total else 0):
         votes = [[[1.0, 1.0], [1.0, 1.0]] for _ in range(n_rules)]
