@@ -24,6 +24,28 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL WHEN c.n_removed = 0 THEN d.
 FROM documents d LEFT JOIN counts c USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+OP9_NGRAM_JACCARD = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) END AS s FROM words
+), classes AS (
+  SELECT min(doc_id) AS rep, key, any_value(s) AS s, len(any_value(s)) AS n FROM (SELECT doc_id, s, list_sort(s) AS key FROM sets WHERE len(s) > 0) t GROUP BY key
+), items AS (
+  SELECT rep, n, unnest(s) AS x FROM classes
+), links AS (
+  SELECT a.rep AS a, b.rep AS b FROM items a JOIN items b ON a.x = b.x AND a.rep < b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT rep, rep AS other FROM classes UNION SELECT r.rep, e.b FROM reach r JOIN both_ways e ON r.other = e.a
+), comp AS (SELECT rep, min(other) AS component_id FROM reach GROUP BY rep),
+degree AS (SELECT a AS rep, count(*) AS n_links FROM both_ways GROUP BY a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id
+FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND list_sort(s.s) = c.key LEFT JOIN comp m ON m.rep = c.rep
+"""
+
 OP10_EXACT_TOP_K = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings

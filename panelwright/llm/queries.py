@@ -28,6 +28,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near duplicates: four-word shingles, Jaccard similarity of 0.85 or more."""
+    from panelwright.llm.near_dup import Bound, near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"), bound=Bound(percent=85, n=4)).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best others of every vector whose id is divisible by 50."""
     from panelwright.llm.topk import top_k
