@@ -20,6 +20,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of 1024 tokens, each window holding the sources' overall shares."""
+    from panelwright.llm.packing import pack
+
+    pieces = pack(_read(spark, sf_dir, "documents", "doc_id", "text", "source"), keep_ids=False)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts, the posterior probability of good quality and the verdict of every document."""
     from panelwright.llm.quality import quality
