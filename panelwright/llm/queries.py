@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and a digest of every document's base spans, and all its spans."""
+    from panelwright.llm.pii import BASE_KINDS, detect, digest
+
+    found = detect(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, BASE_KINDS), F.sha2(digest(F.col("base")), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near duplicates: four-word shingles, Jaccard similarity of 0.85 or more."""
     from panelwright.llm.near_dup import Bound, near_duplicates
