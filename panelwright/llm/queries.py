@@ -28,6 +28,21 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL: four rules, else the classifier."""
+    from panelwright.llm.urls import Rule, judge
+
+    rules = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
+    return judge(_read(spark, sf_dir, "pages", "page_id", "url"), rules)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of every line of every document."""
+    from panelwright.llm.token_counts import section_tokens
+
+    return section_tokens(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts, the posterior probability of good quality and the verdict of every document."""
     from panelwright.llm.quality import quality
