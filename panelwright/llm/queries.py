@@ -43,6 +43,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_tokens(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every whole document."""
+    from panelwright.llm.segmentation import sample
+
+    rows = sample(_read(spark, sf_dir, "documents", "doc_id", "text"), k=2, keep_ids=False)
+    return rows.drop("ids")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts, the posterior probability of good quality and the verdict of every document."""
     from panelwright.llm.quality import quality
