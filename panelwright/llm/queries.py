@@ -20,6 +20,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    from panelwright.llm.toxicity import toxicity
+
+    return toxicity(_read(spark, sf_dir, "documents", "doc_id", "text", "lang"), _read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in sequences of 1024 tokens, each window holding the sources' overall shares."""
     from panelwright.llm.packing import pack

@@ -16,6 +16,8 @@ PIECE_BYTES = 1 << 21
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, *range(9, 14)]] = True
+#: For ``word_bounds``: every ASCII character but letters and digits.
+NOT_LETTERS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15
@@ -69,10 +71,10 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of each run of bytes other than ASCII white space, in order."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of each run of bytes other than ``breaks``, ASCII white space unless given, in order."""
     n = len(data)
-    inside = ~_WHITE[data]
+    inside = ~breaks[data]
     before = np.zeros(n, bool)
     before[1:] = inside[:-1]
     edges = offsets[(offsets > 0) & (offsets < n)]
