@@ -20,9 +20,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         heard = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg(F.min("component").alias("heard")).withColumnRenamed("src", "node")
         taken = labels.join(heard, "node").select("node", F.col("component").alias("old"), F.least("component", "heard").alias("component"))
-        taken = materialise(taken, "taken")
         onward = taken.select(F.col("node").alias("component"), F.col("component").alias("onward"))
         moved = materialise(taken.join(onward, "component", "left").select("node", "old", F.least("component", F.coalesce("onward", "component")).alias("component")), "labels")
         labels = moved.select("node", "component")
         if moved.where("old <> component").isEmpty():
             return labels
+
+
+def joined(labels: DataFrame | None, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``labels`` (node, component; None for none) after more edges: whole components are joined as single nodes."""
+    if labels is None:
+        return components(edges, a, b)
+    named = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
+    between = edges.join(named(a), a, "left").join(named(b), b, "left").select(F.coalesce(f"{a}_component", a).alias("a"), F.coalesce(f"{b}_component", b).alias("b"))
+    merged = components(between)
+    every = labels.unionByName(merged.select("node", F.col("node").alias("component")).join(labels, "node", "left_anti"))
+    onward = merged.select(F.col("node").alias("component"), F.col("component").alias("onward"))
+    return materialise(every.join(onward, "component", "left").select("node", F.coalesce("onward", "component").alias("component")), "joined")

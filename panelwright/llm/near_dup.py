@@ -7,10 +7,14 @@ is a signature, since at least two parts agree. Larger K: with N = K + 1 + E par
 leaves out the E parts that hold least (ordered by content alone, so that both sets of a pair leave out the same ones
 of those that agree), and each remaining part is a signature. Either way a pair that reaches the bound shares one.
 
-From there the join is exact without emitting the pairs of a group. Equal sets count as one node. Within a signature
-each member is compared with the smallest; what isn't joined up by those comparisons is compared across components in
-a second step, except where the distances to the smallest member already rule the pair out, Jaccard distance being a
-metric. Whether a pair reaches the bound is always decided on the whole sets.
+From there the join is exact without emitting the pairs of a group. Equal sets count as one node. A group's members
+are each compared with its hub, its smallest set. Where that leaves several components, suppose that x and y, in
+different ones, reach the bound. One of them isn't linked to the hub p, and as |p| <= |x|, |y|, counting elements shows
+that x and y share at least one element that p lacks; indeed at least half of what x differs from p beyond the bound's
+allowance for x and p. So the members are grouped anew, by the rarest such elements (as many as that count leaves in
+doubt), and each new group is treated in the same way. A hub is in none of its group's new groups, so this ends; as
+the rarest elements are mostly a member's own, it ends soon. Whether a pair reaches the bound is always decided on the
+whole sets.
 
 Defined results: A-Z are lower-cased; words are runs of characters other than ASCII white space. A text with fewer
 words than a shingle has the whole sequence as its only shingle. A null or empty text, or one of white space alone,
@@ -28,10 +32,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.graph import components
+from panelwright.llm.graph import joined
 from panelwright.llm.scratch import materialise
 from panelwright.llm.textbytes import mix, pieces, span_hashes, word_bounds
 
@@ -39,6 +43,8 @@ from panelwright.llm.textbytes import mix, pieces, span_hashes, word_bounds
 BUCKET_ROWS, SORT_ROWS = 1_000_000, 2_000_000
 #: Up to this many differing elements every subset of two parts is enumerated.
 ENUMERATED = 3
+#: Pairs of different components, for each candidate pair of the first round, up to which they are compared directly.
+DIRECT_PAIRS = 4
 #: Rows of candidate nodes that may be broadcast; beyond it the same join shuffles.
 BROADCAST_NODES = 200_000
 
@@ -128,10 +134,14 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _similarities(a: pa.Array, b: pa.Array, n: int) -> Iterator[tuple[int, int, int]]:
-    """(size, size, common) of each pair of texts."""
-    for x, y in zip(shingles(a, n), shingles(b, n), strict=True):
-        yield len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))
+def _against_hub(hubs: pa.Array, texts: pa.Array, bound: Bound) -> Iterator[tuple[bool, np.ndarray, int]]:
+    """For each pair of texts: whether their sets are linked, the elements that the hub lacks, and how many of them
+    the second set shares at least with any set of another component that it reaches."""
+    for p, x in zip(shingles(hubs, bound.n), shingles(texts, bound.n), strict=True):
+        own = x[~np.isin(x, p, assume_unique=True)]
+        common = len(x) - len(own)
+        beyond = (len(p) + len(x) - 2 * common) * (100 + bound.percent) - (len(p) + len(x)) * (100 - bound.percent)
+        yield bound.linked(common, len(p), len(x)), own, max(1, -(-beyond // (2 * (100 + bound.percent))))
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
@@ -146,22 +156,23 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFr
 
 
 def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int) -> DataFrame:
-    """bucket, packed: the (signature, node) pairs of a batch of documents, by bucket; copies within a batch once."""
+    """bucket, packed: (signature, set size, node) of a batch of documents, by bucket; copies within a batch once."""
     n, percent = bound.n, bound.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        nodes: list[np.ndarray] = []
+        nodes: list[tuple[int, int, int]] = []
         seen: set[int] = set()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            signature, node = np.concatenate(held), np.concatenate(nodes)
+            signature = np.concatenate(held)
+            times, sizes, keys = (np.array(x, np.int64) for x in zip(*nodes, strict=True))
             bucket = (signature % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            pairs = np.stack([signature[order], node[order].view(np.uint64)], axis=1)
+            rows = np.stack([signature, np.repeat(sizes, times).view(np.uint64), np.repeat(keys, times).view(np.uint64)], axis=1)[order]
             ends = np.cumsum(np.bincount(bucket, minlength=buckets))
             used = np.flatnonzero(np.diff(ends, prepend=0))
-            packed = [pairs[(ends[i - 1] if i else 0) : ends[i]].tobytes() for i in used]
+            packed = [rows[(ends[i - 1] if i else 0) : ends[i]].tobytes() for i in used]
             held.clear(), nodes.clear(), seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(packed, pa.binary())], ["bucket", "packed"])
 
@@ -172,7 +183,7 @@ def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int) -> DataFrame
                     continue
                 seen.add(key)
                 held.append(signatures(s, percent))
-                nodes.append(np.full(len(held[-1]), key, np.int64))
+                nodes.append((len(held[-1]), len(s), key))
                 size += len(held[-1])
                 if size >= SORT_ROWS:
                     yield from flush()
@@ -184,30 +195,26 @@ def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int) -> DataFrame
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """signature, hub, node: of each signature that several nodes share, its smallest node and each other one.
+    """hub, node: of each signature that several nodes share, the node of the smallest set and each other one.
 
-    A bucket is read piece by piece; between pieces only each signature's smallest node is carried.
+    A bucket is read piece by piece; between pieces only each signature's hub is carried.
     """
-    carried = np.zeros((0, 2), np.uint64)
+    carried = np.zeros((0, 3), np.uint64)
     held, size = [], 0
 
     def merge() -> tuple[np.ndarray, pa.RecordBatch]:
         rows = np.concatenate([carried, *held])
-        signature, node = rows[:, 0], rows[:, 1].view(np.int64) if rows.flags.c_contiguous else rows[:, 1].copy().view(np.int64)
-        order = np.lexsort((node, signature))
-        signature, node = signature[order], node[order]
-        head = np.ones(len(order), bool)
-        head[1:] = signature[1:] != signature[:-1]
+        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+        head = np.ones(len(rows), bool)
+        head[1:] = rows[1:, 0] != rows[:-1, 0]
+        node = rows[:, 2].copy().view(np.int64)
         hub = node[np.flatnonzero(head)][np.cumsum(head) - 1]
-        again = np.zeros(len(order), bool)
-        again[1:] = (node[1:] == node[:-1]) & ~head[1:]
-        out = ~head & ~again & (node != hub)
-        batch = pa.RecordBatch.from_arrays([pa.array(signature[out].view(np.int64)), pa.array(hub[out]), pa.array(node[out])], ["signature", "hub", "node"])
-        return np.stack([signature[head], node[head].view(np.uint64)], axis=1), batch
+        pairs = np.unique(np.stack([hub, node], axis=1)[~head & (node != hub)], axis=0)
+        return rows[head], pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hub", "node"])
 
     for batch in batches:
         for packed in batch.column(0):
-            held.append(np.frombuffer(packed.as_buffer(), np.uint64).reshape(-1, 2))
+            held.append(np.frombuffer(packed.as_buffer(), np.uint64).reshape(-1, 3))
             size += len(held[-1])
             if size >= SORT_ROWS:
                 carried, out = merge()
@@ -219,70 +226,98 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_signatures(docs: DataFrame, text_col: str, bound: Bound, expected: int) -> DataFrame:
-    """signature, hub, node. ``expected``: about how many signatures there are; it only sets how finely they are dealt."""
+    """Distinct hub, node. ``expected``: about how many signatures there are; it only sets how finely they are dealt."""
     buckets = max(12, -(-expected // BUCKET_ROWS))
     packed = _packed_signatures(docs.select(F.col(text_col).cast("string")), bound, buckets)
-    return packed.repartition(buckets, "bucket").select("packed").mapInArrow(_shared, "signature long, hub long, node long")
+    return packed.repartition(buckets, "bucket").select("packed").mapInArrow(_shared, "hub long, node long").distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame, bound: Bound) -> DataFrame:
-    """a, b, distance, linked for pairs of nodes (a, b); texts: (node, text). Spark splits joins on frequent nodes."""
-    n = bound.n
+def compared(pairs: DataFrame, texts: DataFrame, bound: Bound) -> DataFrame:
+    """hub, node, linked, elements, shared for pairs (hub, node), as ``_against_hub`` has them; texts: (node, text).
+
+    Spark splits the joins on frequent nodes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            distance, linked = [], []
-            for x, y, common in _similarities(batch.column(2), batch.column(3), n):
-                distance.append(1 - common / max(1, x + y - common))
-                linked.append(bound.linked(common, x, y))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())], ["a", "b", "distance", "linked"])
+            found = list(_against_hub(batch.column(2), batch.column(3), bound))
+            ends = np.cumsum([0, *(len(x[1]) for x in found)])
+            elements = np.concatenate([x[1] for x in found]).view(np.int64) if found else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(elements, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.bool_()), lists, pa.array([x[2] for x in found], pa.int32())], ["hub", "node", "linked", "elements", "shared"])
 
     side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a long, b long, distance double, linked boolean")
+    both = pairs.join(side("node"), "node").join(side("hub"), "hub").select("hub", "node", "text_hub", "text_node")
+    return both.mapInArrow(run, "hub long, node long, linked boolean, elements array<long>, shared int")
+
+
+def _regrouped(checked: DataFrame, label: DataFrame, sizes: DataFrame, bound: Bound, candidates: int) -> tuple[DataFrame, bool]:
+    """The pairs (hub, node) of the next round, and whether they are the last ones.
+
+    None where a hub's members are all of one component. Where the new groups hold no more pairs of different
+    components than a few times the ``candidates`` of the first round, those pairs themselves are the last round; else
+    each group's hub, the member of the smallest set and with the fewest elements of its own, meets the others.
+    """
+    named = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
+    known = checked.join(named("hub"), "hub", "left").join(named("node"), "node", "left")
+    known = known.select("hub", "node", "elements", "shared", F.coalesce("hub_component", "hub").alias("hub_component"), F.coalesce("node_component", "node").alias("component"))
+    apart = known.where("component <> hub_component").select("hub").distinct()
+    doubtful = (F.size("elements") - F.col("shared") + 1).alias("doubtful")
+    rows = known.join(apart, "hub", "left_semi").select("hub", "node", "component", doubtful, F.size("elements").alias("all"), F.explode("elements").alias("element"))
+    often = rows.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    own = Window.partitionBy("hub", "node")
+    rank, common = F.row_number().over(own.orderBy("times", "element")), F.count(F.lit(1)).over(own)
+    rows = rows.join(often, ["hub", "element"]).withColumn("alone", F.col("all") - common).withColumn("rank", F.col("alone") + rank).where("rank <= doubtful")
+    rows = rows.select("hub", "element", "node", "component", "alone").join(sizes, "node")
+    parts = rows.groupBy("hub", "element", "component").agg(F.count(F.lit(1)).cast("double").alias("n"), F.min(F.struct("size", "alone", "node")).alias("first"))
+    groups = parts.groupBy("hub", "element").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.min("first").alias("first")).where("n * n > squares")
+    rows = materialise(rows.join(groups.select("hub", "element", "n", "squares", F.col("first.node").alias("next")), ["hub", "element"]), "rows")
+    across = rows.agg(F.coalesce(F.sum((F.col("n") - F.col("squares") / F.col("n")) / 2), F.lit(0.0))).first()[0]
+    if across > DIRECT_PAIRS * candidates:
+        return rows.where("node <> next").select(F.col("next").alias("hub"), "node").distinct(), False
+    left, right = (rows.select("hub", "element", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "size")]) for s in "ab")
+    both = left.join(right, ["hub", "element"]).where("node_a < node_b AND component_a <> component_b")
+    both = both.where((F.col("size_a") * 100 >= F.col("size_b") * bound.percent) & (F.col("size_b") * 100 >= F.col("size_a") * bound.percent))
+    return both.select(F.col("node_a").alias("hub"), F.col("node_b").alias("node")).distinct(), True
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: Bound = Bound()) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links), n_links.
 
-    n_links counts the verified links of the document's set with other sets; copies aren't expanded into pairs.
+    n_links counts the links of the document's set with other sets that the join needed to verify; copies aren't
+    expanded into pairs, nor are pairs that are in one component already.
     """
     sets = materialise(document_sets(docs, id_col, text_col, bound.n), "sets")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     rate = 2 * (100 - bound.percent) / (100 + bound.percent)
-    members = materialise(shared_signatures(docs, text_col, bound, int(total * 2.4 * rate) + 1), "members")
+    pairs = materialise(shared_signatures(docs, text_col, bound, int(total * 2.4 * rate) + 1), "pairs")
     nodes = sets.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"))
-    wanted = members.select(F.explode(F.array("hub", "node")).alias("node")).distinct()
+    wanted = pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct()
     owners = materialise(nodes.join(wanted, "node", "left_semi"), "owners")
     plain = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).cast("string").alias("text"))
     small = owners.count() <= BROADCAST_NODES
-    texts = materialise(plain.join(F.broadcast(owners) if small else owners, "least").select("node", "size", "text"), "texts")
-
-    sizes = owners.select("node", "size")
-    fits = lambda x, y: (F.col(x) * 100 >= F.col(y) * bound.percent) & (F.col(y) * 100 >= F.col(x) * bound.percent)
-
-    def sized(pairs: DataFrame) -> DataFrame:
-        return pairs.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("size_a")), "a").join(sizes.select(F.col("node").alias("b"), F.col("size").alias("size_b")), "b")
-
-    stars = members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    checked = materialise(verified(stars, texts, bound), "stars")
-    links = checked.where("linked")
-    label = components(links.select("a", "b"))
-    # Signatures with a member that wasn't linked to the hub: the rest of their pairs.
-    failed = checked.where("not linked").select(F.col("a").alias("hub"), F.col("b").alias("node"))
-    open_signatures = members.join(failed, ["hub", "node"], "left_semi").select("signature").distinct()
-    known = checked.select(F.col("a").alias("hub"), F.col("b").alias("node"), "distance")
-    rest = members.join(open_signatures, "signature").join(known, ["hub", "node"]).join(label, "node", "left").join(sizes, "node")
-    rest = materialise(rest.select("signature", "node", "distance", "size", F.coalesce("component", "node").alias("component")), "rest")
-    left, right = (rest.select("signature", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "distance", "size", "component")]) for s in "ab")
-    far = 1 - bound.percent / 100 + 1e-9
-    across = left.join(right, "signature").where((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & (F.abs(F.col("distance_a") - F.col("distance_b")) <= far) & fits("size_a", "size_b"))
-    more = across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    links = links.unionByName(materialise(verified(more, texts, bound), "across").where("linked"))
-
-    label = components(links.select("a", "b"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = nodes.join(label, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
-    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = classes.join(least, "component").join(degree, "node", "left").select("node", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    texts = materialise(plain.join(F.broadcast(owners) if small else owners, "least").select("node", "text"), "texts")
+
+    links, label, last, candidates = None, None, False, pairs.count()
+    while not pairs.isEmpty():
+        checked = materialise(compared(pairs, texts, bound), "checked")
+        found = checked.where("linked").select("hub", "node")
+        links = found if links is None else links.unionByName(found)
+        label = joined(label, found, "hub", "node")
+        if last:
+            break
+        pairs, last = _regrouped(checked, label, owners.select("node", "size"), bound, candidates)
+        pairs = materialise(pairs, "pairs")
+
+    if links is None:
+        return _classes(sets, nodes.withColumn("component", F.col("node")).withColumn("n_links", F.lit(0)))
+    degree = links.distinct().select(F.explode(F.array("hub", "node")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    classes = nodes.join(label, "node", "left").join(degree, "node", "left")
+    return _classes(sets, classes.withColumn("component", F.coalesce("component", "node")))
+
+
+def _classes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The documents of ``sets`` with the smallest document of their node's component."""
+    least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = nodes.join(least, "component").select("node", "component_id", "n_links")
     return sets.join(classes, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
