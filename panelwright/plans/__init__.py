@@ -1 +1,6 @@
+"""Registered queries and their SQL."""
 
+from panelwright.plans import panel_queries
+from panelwright.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "panel_queries"]
