@@ -218,8 +218,9 @@ def vector_ensemble(df: DataFrame, metrics: list[str], horizon: int = 5, least:
         steps = np.diff(np.vstack([y[-1:], centre]), axis=0) / np.maximum(np.abs(np.vstack([y[-1:], centre[:-1]])), 1e-12)
         if not np.isfinite(centre).all() or (is_log and (centre < 0).any()) or (np.abs(steps) > most_growth).any():
             return pd.DataFrame({"entity": [], "metric": [], "period": [], "value": [], "lo": [], "hi": [], "model": [], "aicc": []})
-        out = [pd.DataFrame({"entity": entity, "metric": m, "period": int(wide.index[-1]) + np.arange(1, horizon + 1), "value": centre[:, j], "lo": np.minimum(low, high)[:, j], "hi": np.maximum(low, high)[:, j], "model": f"var({p})", "aicc": np.nan}) for j, m in enumerate(metrics)]
-        return pd.concat(out)
+        low, high, rows = np.minimum(low, high), np.maximum(low, high), horizon * len(metrics)
+        periods = np.tile(int(wide.index[-1]) + np.arange(1, horizon + 1), len(metrics))
+        return pd.DataFrame({"entity": [entity] * rows, "metric": list(np.repeat(metrics, horizon)), "period": periods, "value": centre.T.ravel(), "lo": low.T.ravel(), "hi": high.T.ravel(), "model": [f"var({p})"] * rows, "aicc": np.full(rows, np.nan)})
 
     return df.select("entity", "metric", "period", "value").groupBy("entity").applyInPandas(run, _SCHEMA)
 
