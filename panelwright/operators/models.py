@@ -19,6 +19,12 @@ def _aicc(sse: float, n: int, k: int) -> float:
     return n * np.log(max(sse, 1e-12) / n) + 2 * k + 2 * k * (k + 1) / max(n - k - 1, 1)
 
 
+def _nothing() -> pd.DataFrame:
+    """No forecasts, of the right types."""
+    kinds = {"entity": object, "metric": object, "period": "int32", "model": object}
+    return pd.DataFrame({c: pd.Series(dtype=kinds.get(c, "float64")) for c in ("entity", "metric", "period", "value", "lo", "hi", "model", "aicc")})
+
+
 def holt(y: np.ndarray, horizon: int) -> tuple[np.ndarray, float, float]:
     """Forecast, residual deviation and AICc of the best of a grid: level and trend weights, damping, additive or not."""
     best = None
@@ -111,7 +117,7 @@ def cross_validated(y: np.ndarray, model, folds: int = 4) -> tuple[float, np.nda
 def _ensemble(pdf: pd.DataFrame, horizon: int, least: int) -> pd.DataFrame:
     rows = pdf.dropna(subset=["value"]).sort_values("period")
     y = rows["value"].to_numpy(float)
-    empty = pd.DataFrame({"entity": [], "metric": [], "period": [], "value": [], "lo": [], "hi": [], "model": [], "aicc": []})
+    empty = _nothing()
     if len(y) < least:
         return empty
     is_log = bool((y > 0).all())
@@ -208,7 +214,7 @@ def vector_ensemble(df: DataFrame, metrics: list[str], horizon: int = 5, least:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         wide = pdf[pdf["metric"].isin(metrics)].pivot_table(index="period", columns="metric", values="value").reindex(columns=metrics).dropna().sort_index()
         if len(wide) < least:
-            return pd.DataFrame({"entity": [], "metric": [], "period": [], "value": [], "lo": [], "hi": [], "model": [], "aicc": []})
+            return _nothing()
         y = wide.to_numpy(float)
         is_log = bool((y > 0).all())
         entity = pdf["entity"].iloc[0]
@@ -217,10 +223,10 @@ def vector_ensemble(df: DataFrame, metrics: list[str], horizon: int = 5, least:
             centre, low, high = np.exp(centre), np.exp(low), np.exp(high)
         steps = np.diff(np.vstack([y[-1:], centre]), axis=0) / np.maximum(np.abs(np.vstack([y[-1:], centre[:-1]])), 1e-12)
         if not np.isfinite(centre).all() or (is_log and (centre < 0).any()) or (np.abs(steps) > most_growth).any():
-            return pd.DataFrame({"entity": [], "metric": [], "period": [], "value": [], "lo": [], "hi": [], "model": [], "aicc": []})
+            return _nothing()
         low, high, rows = np.minimum(low, high), np.maximum(low, high), horizon * len(metrics)
         periods = np.tile(int(wide.index[-1]) + np.arange(1, horizon + 1), len(metrics))
-        return pd.DataFrame({"entity": [entity] * rows, "metric": list(np.repeat(metrics, horizon)), "period": periods, "value": centre.T.ravel(), "lo": low.T.ravel(), "hi": high.T.ravel(), "model": [f"var({p})"] * rows, "aicc": np.full(rows, np.nan)})
+        return pd.DataFrame({"entity": [entity] * rows, "metric": [m for m in metrics for _ in range(horizon)], "period": periods, "value": centre.T.ravel(), "lo": low.T.ravel(), "hi": high.T.ravel(), "model": [f"var({p})"] * rows, "aicc": np.full(rows, np.nan)})
 
     return df.select("entity", "metric", "period", "value").groupBy("entity").applyInPandas(run, _SCHEMA)
 
