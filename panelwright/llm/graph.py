@@ -2,20 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.scratch import materialise
 
+#: Edges up to which one task joins them (16 bytes each); beyond it rounds of joins do the same.
+TASK_EDGES = 100_000
+
+
+def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parent: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            parent.setdefault(x, x), parent.setdefault(y, y)
+            p, q = root(x), root(y)
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.array([root(i) for i in nodes], np.int64))], ["node", "component"])
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component: the smallest node that each node of ``edges`` can reach.
 
-    Each round every node takes the smallest label among its neighbours' and its own, then the label of its label,
-    so that chains shorten by doubling. Labels are written each round; a frequent node's messages are combined before
-    the shuffle. An empty table gives no rows.
+    A few edges (their number is checked) are joined in one task. For more, each round every node takes the smallest
+    label among its neighbours' and its own, then the label of its label, so that chains shorten by doubling. Labels
+    are written each round; a frequent node's messages are combined before the shuffle. An empty table gives no rows.
     """
+    plain = materialise(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct(), "plain")
+    if plain.count() <= TASK_EDGES:
+        return materialise(plain.repartition(1).mapInArrow(_in_one_task, "node long, component long"), "labels")
+    return _by_rounds(plain.withColumnsRenamed({"a": a, "b": b}), a, b)
+
+
+def _by_rounds(edges: DataFrame, a: str, b: str) -> DataFrame:
     both = materialise(edges.select(F.col(a).alias("src"), F.col(b).alias("dst")).unionByName(edges.select(F.col(b).alias("src"), F.col(a).alias("dst"))).where("src <> dst").distinct(), "edges")
+    loops = edges.where(F.col(a) == F.col(b)).select(F.col(a).alias("node"), F.col(a).alias("component")).distinct()
     labels = materialise(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("component")), "labels")
     while True:
         heard = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg(F.min("component").alias("heard")).withColumnRenamed("src", "node")
@@ -24,7 +58,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         moved = materialise(taken.join(onward, "component", "left").select("node", "old", F.least("component", F.coalesce("onward", "component")).alias("component")), "labels")
         labels = moved.select("node", "component")
         if moved.where("old <> component").isEmpty():
-            return labels
+            return labels.unionByName(loops.join(labels, "node", "left_anti"))
 
 
 def joined(labels: DataFrame | None, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

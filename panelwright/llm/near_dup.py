@@ -134,14 +134,14 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _against_hub(hubs: pa.Array, texts: pa.Array, bound: Bound) -> Iterator[tuple[bool, np.ndarray, int]]:
-    """For each pair of texts: whether their sets are linked, the elements that the hub lacks, and how many of them
-    the second set shares at least with any set of another component that it reaches."""
+def _against_hub(hubs: pa.Array, texts: pa.Array, bound: Bound) -> Iterator[tuple[bool, np.ndarray, int, int]]:
+    """For each pair of texts: whether their sets are linked, the elements that the hub lacks, how many of them the
+    second set shares at least with any set of another component that it reaches, and the second set's size."""
     for p, x in zip(shingles(hubs, bound.n), shingles(texts, bound.n), strict=True):
         own = x[~np.isin(x, p, assume_unique=True)]
         common = len(x) - len(own)
         beyond = (len(p) + len(x) - 2 * common) * (100 + bound.percent) - (len(p) + len(x)) * (100 - bound.percent)
-        yield bound.linked(common, len(p), len(x)), own, max(1, -(-beyond // (2 * (100 + bound.percent))))
+        yield bound.linked(common, len(p), len(x)), own, max(1, -(-beyond // (2 * (100 + bound.percent)))), len(x)
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
@@ -233,7 +233,7 @@ def shared_signatures(docs: DataFrame, text_col: str, bound: Bound, expected: in
 
 
 def compared(pairs: DataFrame, texts: DataFrame, bound: Bound) -> DataFrame:
-    """hub, node, linked, elements, shared for pairs (hub, node), as ``_against_hub`` has them; texts: (node, text).
+    """hub, node, linked, elements, shared, size for pairs (hub, node), as ``_against_hub`` has them; texts: (node, text).
 
     Spark splits the joins on frequent nodes.
     """
@@ -244,14 +244,14 @@ def compared(pairs: DataFrame, texts: DataFrame, bound: Bound) -> DataFrame:
             ends = np.cumsum([0, *(len(x[1]) for x in found)])
             elements = np.concatenate([x[1] for x in found]).view(np.int64) if found else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(elements, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.bool_()), lists, pa.array([x[2] for x in found], pa.int32())], ["hub", "node", "linked", "elements", "shared"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.bool_()), lists, *(pa.array([x[k] for x in found], pa.int32()) for k in (2, 3))], ["hub", "node", "linked", "elements", "shared", "size"])
 
     side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
     both = pairs.join(side("node"), "node").join(side("hub"), "hub").select("hub", "node", "text_hub", "text_node")
-    return both.mapInArrow(run, "hub long, node long, linked boolean, elements array<long>, shared int")
+    return both.mapInArrow(run, "hub long, node long, linked boolean, elements array<long>, shared int, size int")
 
 
-def _regrouped(checked: DataFrame, label: DataFrame, sizes: DataFrame, bound: Bound, candidates: int) -> tuple[DataFrame, bool]:
+def _regrouped(checked: DataFrame, label: DataFrame, bound: Bound, candidates: int) -> tuple[DataFrame, bool]:
     """The pairs (hub, node) of the next round, and whether they are the last ones.
 
     None where a hub's members are all of one component. Where the new groups hold no more pairs of different
@@ -260,15 +260,15 @@ def _regrouped(checked: DataFrame, label: DataFrame, sizes: DataFrame, bound: Bo
     """
     named = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
     known = checked.join(named("hub"), "hub", "left").join(named("node"), "node", "left")
-    known = known.select("hub", "node", "elements", "shared", F.coalesce("hub_component", "hub").alias("hub_component"), F.coalesce("node_component", "node").alias("component"))
+    known = known.select("hub", "node", "elements", "shared", "size", F.coalesce("hub_component", "hub").alias("hub_component"), F.coalesce("node_component", "node").alias("component"))
     apart = known.where("component <> hub_component").select("hub").distinct()
     doubtful = (F.size("elements") - F.col("shared") + 1).alias("doubtful")
-    rows = known.join(apart, "hub", "left_semi").select("hub", "node", "component", doubtful, F.size("elements").alias("all"), F.explode("elements").alias("element"))
+    rows = known.join(apart, "hub", "left_semi").select("hub", "node", "component", "size", doubtful, F.size("elements").alias("all"), F.explode("elements").alias("element"))
     often = rows.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     own = Window.partitionBy("hub", "node")
     rank, common = F.row_number().over(own.orderBy("times", "element")), F.count(F.lit(1)).over(own)
     rows = rows.join(often, ["hub", "element"]).withColumn("alone", F.col("all") - common).withColumn("rank", F.col("alone") + rank).where("rank <= doubtful")
-    rows = rows.select("hub", "element", "node", "component", "alone").join(sizes, "node")
+    rows = rows.select("hub", "element", "node", "component", "size", "alone")
     parts = rows.groupBy("hub", "element", "component").agg(F.count(F.lit(1)).cast("double").alias("n"), F.min(F.struct("size", "alone", "node")).alias("first"))
     groups = parts.groupBy("hub", "element").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.min("first").alias("first")).where("n * n > squares")
     rows = materialise(rows.join(groups.select("hub", "element", "n", "squares", F.col("first.node").alias("next")), ["hub", "element"]), "rows")
@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         label = joined(label, found, "hub", "node")
         if last:
             break
-        pairs, last = _regrouped(checked, label, owners.select("node", "size"), bound, candidates)
+        pairs, last = _regrouped(checked, label, bound, candidates)
         pairs = materialise(pairs, "pairs")
 
     if links is None:
