@@ -12,7 +12,8 @@ are each compared with its hub, its smallest set. Where that leaves several comp
 different ones, reach the bound. One of them isn't linked to the hub p, and as |p| <= |x|, |y|, counting elements shows
 that x and y share at least one element that p lacks; indeed at least half of what x differs from p beyond the bound's
 allowance for x and p. So the members are grouped anew, by the rarest such elements (as many as that count leaves in
-doubt), and each new group is treated in the same way. A hub is in none of its group's new groups, so this ends; as
+doubt; those that only one component holds come first, as no pair in question shares them, and form no group), and each
+new group is treated in the same way. A hub is in none of its group's new groups, so this ends; as
 the rarest elements are mostly a member's own, it ends soon. Whether a pair reaches the bound is always decided on the
 whole sets.
 
@@ -40,7 +41,7 @@ from panelwright.llm.scratch import materialise
 from panelwright.llm.textbytes import mix, pieces, span_hashes, word_bounds
 
 #: Signatures in a bucket of the shuffle, and those sorted at once in a task.
-BUCKET_ROWS, SORT_ROWS = 1_000_000, 2_000_000
+BUCKET_ROWS, SORT_ROWS = 1_000_000, 500_000
 #: Up to this many differing elements every subset of two parts is enumerated.
 ENUMERATED = 3
 #: Pairs of different components, for each candidate pair of the first round, up to which they are compared directly.
@@ -235,8 +236,10 @@ def shared_signatures(docs: DataFrame, text_col: str, bound: Bound, expected: in
 def compared(pairs: DataFrame, texts: DataFrame, bound: Bound) -> DataFrame:
     """hub, node, linked, elements, shared, size for pairs (hub, node), as ``_against_hub`` has them; texts: (node, text).
 
-    Spark splits the joins on frequent nodes.
+    Only the texts of nodes in ``pairs`` move. Spark splits the joins on frequent nodes.
     """
+    wanted = materialise(pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct(), "wanted")
+    texts = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted, "node", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,19 +261,24 @@ def _regrouped(checked: DataFrame, label: DataFrame, bound: Bound, candidates: i
     components than a few times the ``candidates`` of the first round, those pairs themselves are the last round; else
     each group's hub, the member of the smallest set and with the fewest elements of its own, meets the others.
     """
-    named = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
-    known = checked.join(named("hub"), "hub", "left").join(named("node"), "node", "left")
-    known = known.select("hub", "node", "elements", "shared", "size", F.coalesce("hub_component", "hub").alias("hub_component"), F.coalesce("node_component", "node").alias("component"))
-    apart = known.where("component <> hub_component").select("hub").distinct()
+    few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_NODES else df
+    ends = few(label)
+    named = lambda c: ends.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
     doubtful = (F.size("elements") - F.col("shared") + 1).alias("doubtful")
-    rows = known.join(apart, "hub", "left_semi").select("hub", "node", "component", "size", doubtful, F.size("elements").alias("all"), F.explode("elements").alias("element"))
-    often = rows.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    narrow = checked.select("hub", "node", "size", doubtful, F.size("elements").alias("all")).join(named("hub"), "hub", "left").join(named("node"), "node", "left")
+    narrow = materialise(narrow.select("hub", "node", "size", "doubtful", "all", F.coalesce("hub_component", "hub").alias("hub_component"), F.coalesce("node_component", "node").alias("component")), "components")
+    apart = materialise(narrow.where("component <> hub_component").select("hub").distinct(), "apart")
+    narrow = few(materialise(narrow.join(few(apart), "hub", "left_semi").drop("hub_component"), "narrow"))
+    # A pair's elements move without its other columns, which are joined to what is left of them.
+    rows = checked.select("hub", "node", "elements").join(narrow.select("hub", "node", "component"), ["hub", "node"]).select("hub", "node", "component", F.explode("elements").alias("element"))
+    often = rows.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").drop("low", "high")
     own = Window.partitionBy("hub", "node")
     rank, common = F.row_number().over(own.orderBy("times", "element")), F.count(F.lit(1)).over(own)
-    rows = rows.join(often, ["hub", "element"]).withColumn("alone", F.col("all") - common).withColumn("rank", F.col("alone") + rank).where("rank <= doubtful")
-    rows = rows.select("hub", "element", "node", "component", "size", "alone")
-    parts = rows.groupBy("hub", "element", "component").agg(F.count(F.lit(1)).cast("double").alias("n"), F.min(F.struct("size", "alone", "node")).alias("first"))
-    groups = parts.groupBy("hub", "element").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.min("first").alias("first")).where("n * n > squares")
+    rows = rows.drop("component").join(often, ["hub", "element"]).withColumn("common", common).withColumn("rank", rank).join(narrow, ["hub", "node"])
+    rows = rows.withColumn("alone", F.col("all") - F.col("common")).where("alone + rank <= doubtful").select("hub", "element", "node", "component", "size", "alone")
+    parts = rows.groupBy("hub", "element", "component").agg(F.count(F.lit(1)).cast("double").alias("n"), F.min(F.struct("size", "alone", "node")).alias("first"), F.bit_xor(F.xxhash64("node")).alias("who"))
+    groups = parts.groupBy("hub", "element").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.min("first").alias("first"), F.bit_xor("who").alias("who")).where("n * n > squares")
+    groups = groups.groupBy("hub", "who", "n", "squares", "first").agg(F.min("element").alias("element"))  # elements with the same members are one group
     rows = materialise(rows.join(groups.select("hub", "element", "n", "squares", F.col("first.node").alias("next")), ["hub", "element"]), "rows")
     across = rows.agg(F.coalesce(F.sum((F.col("n") - F.col("squares") / F.col("n")) / 2), F.lit(0.0))).first()[0]
     if across > DIRECT_PAIRS * candidates:
