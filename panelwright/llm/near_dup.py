@@ -26,10 +26,12 @@ by 64-bit hashes.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
+from tempfile import SpooledTemporaryFile
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ from panelwright.llm.graph import joined
 from panelwright.llm.scratch import materialise
 from panelwright.llm.textbytes import mix, pieces, span_hashes, word_bounds
 
-#: Signatures in a bucket of the shuffle, and those sorted at once in a task.
+#: Signatures in a bucket of the shuffle, and those sorted or paired at once in a task.
 BUCKET_ROWS, SORT_ROWS = 1_000_000, 500_000
 #: Up to this many differing elements every subset of two parts is enumerated.
 ENUMERATED = 3
@@ -195,42 +197,52 @@ def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int) -> DataFrame
     return docs.mapInArrow(run, "bucket long, packed binary")
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _smallest(rows: np.ndarray) -> np.ndarray:
+    """Of rows (signature, set size, node), each signature's least one, by signature."""
+    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+    head = np.ones(len(rows), bool)
+    head[1:] = rows[1:, 0] != rows[:-1, 0]
+    return rows[head]
+
+
+def _shared(batches: Iterator[pa.RecordBatch], piece: int | None = None) -> Iterator[pa.RecordBatch]:
     """hub, node: of each signature that several nodes share, the node of the smallest set and each other one.
 
-    A bucket is read piece by piece; between pieces only each signature's hub is carried.
+    A bucket is read twice, piece by piece: the first pass settles every signature's hub, the second pairs its other
+    nodes with it. Between the passes the rows lie in a file, or in memory if they are but one piece.
     """
-    carried = np.zeros((0, 3), np.uint64)
+    piece = piece or SORT_ROWS
+    hubs = np.zeros((0, 3), np.uint64)
     held, size = [], 0
-
-    def merge() -> tuple[np.ndarray, pa.RecordBatch]:
-        rows = np.concatenate([carried, *held])
-        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
-        head = np.ones(len(rows), bool)
-        head[1:] = rows[1:, 0] != rows[:-1, 0]
-        node = rows[:, 2].copy().view(np.int64)
-        hub = node[np.flatnonzero(head)][np.cumsum(head) - 1]
-        pairs = np.unique(np.stack([hub, node], axis=1)[~head & (node != hub)], axis=0)
-        return rows[head], pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hub", "node"])
-
-    for batch in batches:
-        for packed in batch.column(0):
-            held.append(np.frombuffer(packed.as_buffer(), np.uint64).reshape(-1, 3))
-            size += len(held[-1])
-            if size >= SORT_ROWS:
-                carried, out = merge()
-                held, size = [], 0
-                yield out
-    if size:
-        carried, out = merge()
-        yield out
+    with SpooledTemporaryFile(max_size=24 * piece, dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None) as spool:
+        for batch in batches:
+            for packed in batch.column(0):
+                spool.write(packed.as_buffer())
+                held.append(np.frombuffer(packed.as_buffer(), np.uint64).reshape(-1, 3))
+                size += len(held[-1])
+                if size >= piece:
+                    hubs = _smallest(np.concatenate([hubs, *held]))
+                    held, size = [], 0
+        if size:
+            hubs = _smallest(np.concatenate([hubs, *held]))
+        held.clear()
+        signature, smallest = hubs[:, 0].copy(), hubs[:, 2].copy().view(np.int64)
+        del hubs
+        spool.seek(0)
+        while data := spool.read(24 * piece):
+            rows = np.frombuffer(data, np.uint64).reshape(-1, 3)
+            node = rows[:, 2].copy().view(np.int64)
+            hub = smallest[np.searchsorted(signature, rows[:, 0])]
+            pairs = np.unique(np.stack([hub, node], axis=1)[node != hub], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hub", "node"])
 
 
 def shared_signatures(docs: DataFrame, text_col: str, bound: Bound, expected: int) -> DataFrame:
     """Distinct hub, node. ``expected``: about how many signatures there are; it only sets how finely they are dealt."""
     buckets = max(12, -(-expected // BUCKET_ROWS))
     packed = _packed_signatures(docs.select(F.col(text_col).cast("string")), bound, buckets)
-    return packed.repartition(buckets, "bucket").select("packed").mapInArrow(_shared, "hub long, node long").distinct()
+    piece = SORT_ROWS
+    return packed.repartition(buckets, "bucket").select("packed").mapInArrow(lambda b: _shared(b, piece), "hub long, node long").distinct()
 
 
 def compared(pairs: DataFrame, texts: DataFrame, bound: Bound) -> DataFrame:

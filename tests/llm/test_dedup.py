@@ -79,6 +79,38 @@ def test_near_duplicates_match_brute_force(spark, bound):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in found} == brute_classes(texts, bound)
 
 
+def test_hubs_do_not_depend_on_the_order_of_pieces(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from panelwright.llm import near_dup
+
+    monkeypatch.setattr(near_dup, "SORT_ROWS", 2)
+    r = random.Random(6)
+    rows = [(s, 10 + (s * 7 + m) % 5, 100 * s + m) for s in range(6) for m in range(s + 1)]
+    want = {(min((z, n) for t, z, n in rows if t == s)[1], node) for s, _, node in rows} - {(n, n) for _, _, n in rows}
+    for _ in range(20):
+        r.shuffle(rows)
+        packed = [np.array(rows[i : i + 3], np.uint64).tobytes() for i in range(0, len(rows), 3)]
+        found = [x for b in near_dup._shared(iter([pa.record_batch([pa.array(packed, pa.binary())], ["packed"])])) for x in zip(*b.to_pydict().values(), strict=True)]
+        assert set(found) == want
+
+
+@pytest.mark.parametrize("piece", [3, 40])
+def test_near_duplicates_in_small_pieces_match_brute_force(spark, monkeypatch, piece):
+    monkeypatch.setattr("panelwright.llm.near_dup.SORT_ROWS", piece)
+    r = random.Random(piece)
+    bound, texts = Bound(80, 5), {}
+    for f in range(4):
+        base = " ".join("".join(r.choices("abcdefgh", k=4)) for _ in range(r.choice([30, 80, 200])))
+        for _ in range(20):
+            texts[len(texts)] = family(r, base, r.choice([0, 1, 2, 3, 5, 8]))
+    rows = [(i, t, "x", "y") for i, t in texts.items()]
+    r.shuffle(rows)
+    found = near_duplicates(spark.createDataFrame(rows, DOCS).repartition(5), bound=bound).collect()
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in found} == brute_classes(texts, bound)
+
+
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], DOCS)
     assert near_duplicates(empty).collect() == []
