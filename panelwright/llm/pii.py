@@ -88,18 +88,57 @@ def base_spans(text: str) -> list[Span]:
 
 
 _LOOSE = {
-    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}){1,4}"),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])"),
-    "card": re.compile(r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){11,18}(?![0-9])"),
-    "phone": re.compile(r"(?<![0-9])(?:\+|\()?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}(?![0-9])"),
     "secret": re.compile(r"(?<![A-Za-z0-9_/+=-])[A-Za-z0-9_/+=-]{16,128}(?![A-Za-z0-9_/+=-])"),
 }
+#: The beginning of an address up to its at sign, the first part of its domain, and each further part.
+_HEAD = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])")
+_LABEL, _MORE = re.compile(r"\x20?[A-Za-z0-9-]{1,63}"), re.compile(r"\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}")
+_GROUP = re.compile(r"[0-9]+")
+#: What may lie between two groups of digits, and the least and most digits.
+_GROUPED = {"card": (re.compile(r"[\x20.-]"), 12, 19), "phone": (re.compile(r"[\x20()./-]{1,2}"), 7, 15)}
+#: Groups of digits next to a span.
+_BEFORE, _AFTER = re.compile(r"([0-9]{1,6})[\x20()./,-]{1,2}\Z"), re.compile(r"[\x20()./,-]{1,2}([0-9]{1,6})")
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Of each at sign with a name before it, the domains of two to five parts."""
+    for m in _HEAD.finditer(text):
+        part = _LABEL.match(text, m.end())
+        for _ in range(4):
+            if not (part := part and _MORE.match(text, part.end())):
+                break
+            yield m.start(), part.end()
+
+
+def _numbers(text: str, groups: list[tuple[int, int]], kind: str) -> Iterator[tuple[int, int]]:
+    """From the start of every group of digits to the end of every group, where the digits between are as many as allowed."""
+    between, least, most = _GROUPED[kind]
+    for i, (a, b) in enumerate(groups):
+        n, first = b - a, a - (kind == "phone" and text[a - 1 : a] in ("+", "("))
+        j = i
+        while n <= most:
+            if n >= least:
+                yield first, b
+            j += 1
+            if j == len(groups) or groups[j][0] - b > 2 or not between.fullmatch(text, b, groups[j][0]):
+                break
+            n, b = n + groups[j][1] - groups[j][0], groups[j][1]
 
 
 def candidates(text: str) -> list[Span]:
-    """Overlapping proposals of every kind; keys need a digit."""
-    found = [(kind, m.start(), m.end()) for kind, p in _LOOSE.items() for m in p.finditer(text)]
-    return [s for s in found if s[0] != "secret" or any("0" <= c <= "9" for c in text[s[1] : s[2]])]
+    """Overlapping proposals of every kind, a bounded number at each place; keys need a digit."""
+    groups = [m.span() for m in _GROUP.finditer(text)]
+    found = [("email", a, b) for a, b in _addresses(text)]
+    found += [("ip", m.start(), m.end()) for m in _LOOSE["ip"].finditer(text)]
+    found += [(kind, a, b) for kind in _GROUPED for a, b in _numbers(text, groups, kind)]
+    return found + [("secret", m.start(), m.end()) for m in _LOOSE["secret"].finditer(text) if any("0" <= c <= "9" for c in m.group())]
+
+
+def _edges(text: str, a: int, b: int) -> tuple[int, int]:
+    """Digits of the groups that a separator of up to two characters parts from the span, before and after it."""
+    before, after = _BEFORE.search(text[max(0, a - 8) : a]), _AFTER.match(text, b, b + 8)
+    return len(before[1]) if before else 0, len(after[1]) if after else 0
 
 
 #: Words whose nearness speaks for or against a kind.
@@ -124,7 +163,8 @@ def features(text: str, span: Span) -> list[float]:
     groups = re.findall(r"[0-9]+", body)
     parts = [len(g) for g in groups]
     octets = [int(g) if len(g) <= 3 else 999 for g in groups] or [999]
-    before, after = text[a - 1 : a], text[b : b + 1]
+    before, after = text[a - 1 : a] or " ", text[b : b + 1] or " "
+    between = re.findall(r"[^0-9]+", body)
     return [
         KINDS.index(kind), b - a, len(digits), letters, len(digits) / (b - a), sum(c.isupper() for c in body) / (b - a),
         float(-(counts * np.log2(counts)).sum()), len(parts), max(parts, default=0), min(parts, default=0), max(octets),
@@ -133,6 +173,8 @@ def features(text: str, span: Span) -> list[float]:
         sum(w in _CUES[kind] for w in near), sum(w in words for k, words in _CUES.items() if k != kind for w in near), sum(w in _AGAINST for w in near),
         bool(near) and near[-1] in _CUES[kind], bool(near) and near[-1] in _AGAINST, before in "\"'=:(", before.isalnum() or before in "./-_", after.isalnum() or after in "/-_%",
         "://" in text[max(0, a - 60) : a].split(" ")[-1],
+        *_edges(text, a, b), before in between, after in between, len(set(between)), *([*parts, 0, 0, 0][:3]), parts[-1] if parts else 0,
+        ". " in body, kind == "email" and bool(_MORE.match(text, b)), text[b : b + 1] == "." and text[b + 1 : b + 2].isalnum(),
     ]
 
 
@@ -148,9 +190,14 @@ class _Writer:
     def word(self) -> str:
         return "".join(self.r.choices("aeioubcdfghlmnprstvw", k=self.r.randint(2, 9)))
 
-    def private(self) -> tuple[str, str]:
+    def dated(self) -> str:
+        r = self.r
+        day = r.choice(["-", "/", "."]).join((str(r.randint(1900, 2030)), f"{r.randint(1, 12):02}", f"{r.randint(1, 28):02}"))
+        return r.choice([day, f"{day} {r.randint(0, 23):02}:{r.randint(0, 59):02}", "24/7", str(r.randint(1, 99)), f"{r.randint(1, 12)}/{r.randint(1, 28)}"])
+
+    def private(self, kind: str | None = None) -> tuple[str, str]:
         r = self.r
-        kind = r.choice(KINDS)
+        kind = kind or r.choice(KINDS)
         if kind == "email":
             at, dot = r.choice([("@", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), ("(at)", "."), (" @ ", ".")])
             return kind, f"{self.word()}{r.choice('._-')}{self.n(r.randint(1, 3))}{at}{self.word()}{dot}{r.choice(['com', 'org', 'net', 'example.com'])}"
@@ -161,7 +208,7 @@ class _Writer:
             d += next(c for c in "0123456789" if luhn(d + c)) if r.random() < 0.7 else self.n(1)
             return kind, r.choice(["", " ", "-"]).join((d[:4], d[4:8], d[8:12], d[12:]))
         if kind == "phone":
-            a, b, c = self.n(3, "23456789"), self.n(3, "23456789"), self.n(4)
+            a, b, c = self.n(3, "23456789"), self.n(3), self.n(4)
             return kind, r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+1 ({a}) {b}-{c}", f"{a}.{b}.{c}", f"0{self.n(2)} {self.n(7)}", f"+{self.n(2, '34')} {self.n(9)}"])
         if r.random() < 0.5:
             return kind, "".join(r.choices("0123456789abcdef", k=r.choice([32, 40, 64])))
@@ -183,9 +230,15 @@ class _Writer:
             if self.r.random() < 0.5:
                 kind, body = self.private()
                 cue = self.r.random()
+                if kind in ("phone", "card") and self.r.random() < 0.3:  # logs
+                    out += self.dated() + self.r.choice([" ", " ", ", ", "\t"])
                 if cue < 0.4:
                     out += self.r.choice(_CUES[kind]) + self.r.choice([" ", ": ", " = ", ' = "'])
                 spans.append((kind, len(out), len(out) + len(body)))
+                while kind in ("phone", "card") and not out.endswith('"') and self.r.random() < 0.4:  # lists and tables
+                    out += body + self.r.choice([" ", " ", ", ", "; ", "\n"])
+                    kind, body = self.private(self.r.choice(("phone", "phone", "card")))
+                    spans.append((kind, len(out), len(out) + len(body)))
                 out += body + ('" ' if out.endswith('"') else self.r.choice([" ", ". ", ", "]))
             else:
                 out += self.harmless() + self.r.choice([" ", ". ", ", "])
@@ -241,7 +294,8 @@ def train(texts: int = TRAINING_TEXTS, precision: float = PRECISION, seed: int =
         text, truth = writer.text()
         for span in candidates(text):
             rows.append(features(text, span))
-            labels.append(any(k == span[0] and abs(a - span[1]) <= 2 and abs(b - span[2]) <= 2 for k, a, b in truth))
+            slack = 0 if span[0] in _GROUPED else 2
+            labels.append(any(k == span[0] and abs(a - span[1]) <= slack and abs(b - span[2]) <= slack for k, a, b in truth))
             kinds.append(span[0])
     x, y = np.array(rows, float), np.array(labels, float)
     held = np.arange(len(y)) % 3 == 2

@@ -104,3 +104,31 @@ def test_held_out_accuracy_of_the_trees():
         wrong += sum(not any(x < b and a < y for x, y in places) for _, a, b in spans)
         missed += sum(not any(x < b and a < y for _, a, b in spans) for x, y in places)
     assert right / (right + wrong) > 0.93 and right / (right + missed) > 0.9
+
+
+def test_adjacent_numbers_are_proposed_and_found():
+    found = pii.train()
+    for text, want in [
+        ("555-123-4567 555-987-6543", ["555-123-4567", "555-987-6543"]),
+        ("2024-01-05 555-123-4567", ["555-123-4567"]),
+        ("call 24/7 555-123-4567", ["555-123-4567"]),
+        ("pay by card 4111 1111 1111 1111 5500 0000 0000 0004 now", ["4111 1111 1111 1111", "5500 0000 0000 0004"]),
+        ("mail jo (at) ex.co. ann (at) site.com", ["jo (at) ex.co", "ann (at) site.com"]),
+    ]:
+        proposed = {text[a:b] for _, a, b in pii.candidates(text)}
+        assert set(want) <= proposed
+        assert [text[a:b] for _, a, b in found.spans(text)[1]] == want
+    assert len(pii.candidates("1 " * 2000)) < 20 * 2000
+
+
+def test_held_out_numbers_in_lists():
+    found, r, whole, total = pii.train(), random.Random(5), 0, 0
+    writer = pii._Writer(123)
+    for _ in range(200):
+        bodies = [writer.private("phone")[1] for _ in range(r.randint(2, 5))]
+        text = " ".join(writer.word() for _ in range(5)) + " " + " ".join(bodies) + " " + writer.word()
+        spans, at = {(a, b) for _, a, b in found.spans(text)[1]}, 0
+        for body in bodies:
+            at = text.index(body, at)
+            whole, total, at = whole + ((at, at + len(body)) in spans), total + 1, at + len(body)
+    assert whole / total > 0.9
