@@ -89,7 +89,7 @@ def base_spans(text: str) -> list[Span]:
 
 _LOOSE = {
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])"),
-    "secret": re.compile(r"(?<![A-Za-z0-9_/+=-])[A-Za-z0-9_/+=-]{16,128}(?![A-Za-z0-9_/+=-])"),
+    "secret": re.compile(r"(?<![A-Za-z0-9_/+=-])[A-Za-z0-9_/+=-]{16,}+"),
 }
 #: The beginning of an address up to its at sign, the first part of its domain, and each further part.
 _HEAD = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])")
@@ -158,7 +158,8 @@ def features(text: str, span: Span) -> list[float]:
     kind, a, b = span
     body = text[a:b]
     digits, letters = _digits(body), sum(c.isalpha() for c in body)
-    counts = np.unique(list(body), return_counts=True)[1] / len(body)
+    counts = np.bincount(np.frombuffer(body.encode(), np.uint8))
+    counts = counts[counts > 0] / len(body)
     near = [w.lower() for w in _WORD.findall(text[max(0, a - 40) : a])[-4:]]
     groups = re.findall(r"[0-9]+", body)
     parts = [len(g) for g in groups]
@@ -210,6 +211,8 @@ class _Writer:
         if kind == "phone":
             a, b, c = self.n(3, "23456789"), self.n(3), self.n(4)
             return kind, r.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+1 ({a}) {b}-{c}", f"{a}.{b}.{c}", f"0{self.n(2)} {self.n(7)}", f"+{self.n(2, '34')} {self.n(9)}"])
+        if r.random() < 0.2:  # long keys, tokens and encoded lines
+            return kind, "".join(r.choices(r.choice(["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-"]), k=r.choice([96, 128, 129, 256, 512, r.randint(130, 3000)])))
         if r.random() < 0.5:
             return kind, "".join(r.choices("0123456789abcdef", k=r.choice([32, 40, 64])))
         return kind, "AKIA" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)) if r.random() < 0.5 else "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=r.randint(24, 48)))
@@ -220,7 +223,7 @@ class _Writer:
             lambda: f"version {r.randint(1, 20)}.{r.randint(0, 400)}.{r.randint(0, 300)}.{r.randint(256, 999)}", lambda: f"order {self.n(r.randint(7, 14))}", lambda: f"ISBN 978-{self.n(1)}-{self.n(4)}-{self.n(4)}-{self.n(1)}",
             lambda: f"{r.randint(1900, 2030)}-{r.randint(10, 12)}-{r.randint(10, 28)} {r.randint(10, 23)}:{r.randint(10, 59)}", lambda: f"{r.randint(1900, 2030)}/{r.randint(10, 12)}/{r.randint(10, 28)}", lambda: f"invoice no {self.n(r.randint(8, 16))}",
             lambda: f"{self.n(3)}.{self.n(3)}.{self.n(3)}", lambda: f"chapter_{self.word()}_{self.word()}_{r.randint(1, 30)}", lambda: f"https://www.{self.word()}.example.com/{self.word()}/{self.n(9)}", lambda: f"page {self.n(7)}",
-            lambda: f"{self.word()}-{self.word()}-{self.word()}-{r.randint(2, 2030)}", lambda: f"id {self.n(r.randint(7, 18))}", lambda: "=" * r.randint(16, 30) + self.n(1), lambda: f"{self.n(8)}", lambda: f"{self.n(2)} {self.n(3)} {self.n(3)}",
+            lambda: f"{self.word()}-{self.word()}-{self.word()}-{r.randint(2, 2030)}", lambda: f"id {self.n(r.randint(7, 18))}", lambda: r.choice("=-_") * r.choice([r.randint(16, 30), r.randint(31, 400)]) + self.n(1), lambda: r.choice("-_/").join(self.word() for _ in range(r.randint(5, 60))) + f"-{r.randint(2, 2030)}", lambda: f"{self.n(8)}", lambda: f"{self.n(2)} {self.n(3)} {self.n(3)}",
         ])()
 
     def text(self) -> tuple[str, list[Span]]:
@@ -235,7 +238,7 @@ class _Writer:
                 if cue < 0.4:
                     out += self.r.choice(_CUES[kind]) + self.r.choice([" ", ": ", " = ", ' = "'])
                 spans.append((kind, len(out), len(out) + len(body)))
-                while kind in ("phone", "card") and not out.endswith('"') and self.r.random() < 0.4:  # lists and tables
+                while kind in ("phone", "card") and not out.endswith('"') and self.r.random() < 0.65:  # lists and tables
                     out += body + self.r.choice([" ", " ", ", ", "; ", "\n"])
                     kind, body = self.private(self.r.choice(("phone", "phone", "card")))
                     spans.append((kind, len(out), len(out) + len(body)))

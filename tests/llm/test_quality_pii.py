@@ -132,3 +132,13 @@ def test_held_out_numbers_in_lists():
             at = text.index(body, at)
             whole, total, at = whole + ((at, at + len(body)) in spans), total + 1, at + len(body)
     assert whole / total > 0.9
+
+
+def test_long_keys_are_taken_whole():
+    found, r = pii.train(), random.Random(8)
+    for alphabet, k in (("0123456789abcdef", 256), ("0123456789abcdef", 129), ("ABCDEFGHabcdefghijklmnop0123456789_-", 700), ("ABCDEFGHIJKLMNOPqrstuvwxyz0123456789+/", 2000)):
+        key = "a1" + "".join(r.choices(alphabet, k=k - 2))
+        text = f'some words before token = "{key}" and after'
+        assert ("secret", 27, 27 + k) in pii.candidates(text)
+        assert found.spans(text)[1] == [("secret", 27, 27 + k)]
+    assert pii.candidates("a1" * 500_000) == [("secret", 0, 1_000_000)]
