@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.scratch import materialise
+from panelwright.llm.scratch import discard, materialise
 
 #: Edges up to which one task joins them (16 bytes each); beyond it rounds of joins do the same.
 TASK_EDGES = 100_000
@@ -43,20 +43,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     plain = materialise(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct(), "plain")
     if plain.count() <= TASK_EDGES:
-        return materialise(plain.repartition(1).mapInArrow(_in_one_task, "node long, component long"), "labels")
-    return _by_rounds(plain.withColumnsRenamed({"a": a, "b": b}), a, b)
+        out = materialise(plain.repartition(1).mapInArrow(_in_one_task, "node long, component long"), "labels")
+    else:
+        out = materialise(_by_rounds(plain, "a", "b"), "labels")
+    discard(plain)
+    return out
 
 
 def _by_rounds(edges: DataFrame, a: str, b: str) -> DataFrame:
     both = materialise(edges.select(F.col(a).alias("src"), F.col(b).alias("dst")).unionByName(edges.select(F.col(b).alias("src"), F.col(a).alias("dst"))).where("src <> dst").distinct(), "edges")
     loops = edges.where(F.col(a) == F.col(b)).select(F.col(a).alias("node"), F.col(a).alias("component")).distinct()
     labels = materialise(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("component")), "labels")
+    last = labels
     while True:
         heard = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg(F.min("component").alias("heard")).withColumnRenamed("src", "node")
         taken = labels.join(heard, "node").select("node", F.col("component").alias("old"), F.least("component", "heard").alias("component"))
         onward = taken.select(F.col("node").alias("component"), F.col("component").alias("onward"))
         moved = materialise(taken.join(onward, "component", "left").select("node", "old", F.least("component", F.coalesce("onward", "component")).alias("component")), "labels")
-        labels = moved.select("node", "component")
+        discard(last)
+        last, labels = moved, moved.select("node", "component")
         if moved.where("old <> component").isEmpty():
             return labels.unionByName(loops.join(labels, "node", "left_anti"))
 
@@ -70,4 +75,6 @@ def joined(labels: DataFrame | None, edges: DataFrame, a: str = "a", b: str = "b
     merged = components(between)
     every = labels.unionByName(merged.select("node", F.col("node").alias("component")).join(labels, "node", "left_anti"))
     onward = merged.select(F.col("node").alias("component"), F.col("component").alias("onward"))
-    return materialise(every.join(onward, "component", "left").select("node", F.coalesce("onward", "component").alias("component")), "joined")
+    out = materialise(every.join(onward, "component", "left").select("node", F.coalesce("onward", "component").alias("component")), "joined")
+    discard(labels, merged)
+    return out

@@ -2,26 +2,32 @@
 
 A text's set holds its distinct word shingles. Sets of similar size fall into bands, and neighbouring bands share
 groups of signatures: two sets whose Jaccard similarity reaches the bound differ in at most K elements, K depending on
-the group alone. The feature domain is cut into N parts by hash. Small K: every subset of N - K = 2 parts out of K + 2
-is a signature, since at least two parts agree. Larger K: with N = K + 1 + E parts at least E + 1 agree; each set
-leaves out the E parts that hold least (ordered by content alone, so that both sets of a pair leave out the same ones
-of those that agree), and each remaining part is a signature. Either way a pair that reaches the bound shares one.
-
-From there the join is exact without emitting the pairs of a group. Equal sets count as one node. A group's members
-are each compared with its hub, its smallest set. Where that leaves several components, suppose that x and y, in
-different ones, reach the bound. One of them isn't linked to the hub p, and as |p| <= |x|, |y|, counting elements shows
-that x and y share at least one element that p lacks; indeed at least half of what x differs from p beyond the bound's
-allowance for x and p. So the members are grouped anew, by the rarest such elements (as many as that count leaves in
-doubt; those that only one component holds come first, as no pair in question shares them, and form no group), and each
-new group is treated in the same way. A hub is in none of its group's new groups, so this ends; as
-the rarest elements are mostly a member's own, it ends soon. Whether a pair reaches the bound is always decided on the
-whole sets.
+the group alone. PartEnum in two levels: the feature domain is cut by hash into parts, and each part into three
+subparts. K differences put two or more into K // 2 parts at most; in any other part the sets agree on some two of the
+three subparts. So every subset of two subparts of every part is a signature, and a pair that reaches the bound shares
+one. A few parts more than needed are made, so that as many more signatures agree; each set leaves out that many, those
+that hold least (ordered by size and content, which are the same on both sides where the sets agree).
+
+From there the join is exact without emitting the pairs of a group. Equal sets count as one node. Each node is first
+compared with its leader, the node that most others share signatures with, and what is linked is one component. The
+signatures that still join several components are few; all nodes of such a signature meet one hub b. Let D(x) hold
+what x and b don't share. Linked sets x and y of different components aren't both linked to b, say x isn't. As y differs
+from x in |D(x)| + |D(y)| - 2 |D(x) & D(y)| elements, the bounds for (x, y) and (x, b) leave D(x) and D(y) at least
+
+    ((100 - p) (|b| - |y|) + 1 + (100 + p) |D(y)|) / (2 (100 + p))   and   ((100 + p) |D(x)| - (100 - p) (|x| + |b|)) / (2 (100 + p))
+
+elements in common (p: the bound in percent), and all of D(y) but the (100 - p) |y| / p that sets which reach the bound
+can differ in. Elements are ordered by how many nodes of the hub hold them, the rarest
+first, and a set is entered under as many of them as those counts leave in doubt: then linked sets meet under one.
+These prefix groups, mostly empty, are compared directly if they hold few pairs; else they are treated as signatures
+are, their hub being one of their members, which is in none of the groups that follow, so that this ends. Whether a
+pair reaches the bound is always decided on the whole sets.
 
 Defined results: A-Z are lower-cased; words are runs of characters other than ASCII white space. A text with fewer
 words than a shingle has the whole sequence as its only shingle. A null or empty text, or one of white space alone,
-has an empty set and is linked with nothing. Document ids are unique and not null; rows with equal texts are linked.
-An empty table gives no rows. Other columns, whatever their names, aren't read. Shingles and whole sets are told apart
-by 64-bit hashes.
+has an empty set and is linked with nothing. Rows with equal texts are linked. Every row gives a row, also where ids
+repeat; a row without an id gets the smallest id of its class, null if there is none. An empty table gives no rows.
+Other columns, whatever their names, aren't read. Shingles and whole sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -30,25 +36,26 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import combinations
 from tempfile import SpooledTemporaryFile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.graph import joined
-from panelwright.llm.scratch import materialise
-from panelwright.llm.textbytes import mix, pieces, span_hashes, word_bounds
-
-#: Signatures in a bucket of the shuffle, and those sorted or paired at once in a task.
-BUCKET_ROWS, SORT_ROWS = 1_000_000, 500_000
-#: Up to this many differing elements every subset of two parts is enumerated.
-ENUMERATED = 3
-#: Pairs of different components, for each candidate pair of the first round, up to which they are compared directly.
+from panelwright.llm.scratch import discard, materialise
+from panelwright.llm.textbytes import cuts, mix, pieces, span_hashes, word_bounds
+
+#: Signatures in a partition of the shuffle, and those sorted at once in a task.
+PARTITION_ROWS, SORT_ROWS = 1_000_000, 500_000
+#: Subparts of a part; a signature leaves one of them out.
+SUBPARTS = 3
+#: Members of a hub that are compared with it in a row; a hub of more is dealt out in parts.
+HUB_MEMBERS = 64
+#: Pairs that prefix groups may hold, for each of their members, to be compared directly.
 DIRECT_PAIRS = 4
-#: Rows of candidate nodes that may be broadcast; beyond it the same join shuffles.
+#: Rows of nodes that may be broadcast; beyond it the same join shuffles.
 BROADCAST_NODES = 200_000
 
 
@@ -81,13 +88,16 @@ def shingles(column: pa.Array, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text of a column, in order."""
     coefficients = mix(np.arange(1, n + 1, dtype=np.uint64), 11) | np.uint64(1)
     for _, rows, data, offsets in pieces(column):
-        start, end, row = word_bounds(data, offsets)
-        words = span_hashes(data, start, end, lower=True)
+        found = []
+        for a, b in cuts(data) if rows == 1 else [(0, len(data))]:
+            start, end, row = word_bounds(data[a:b], np.array([0, b - a]) if rows == 1 else offsets)
+            found.append(span_hashes(data[a:b], start, end, lower=True))
+        words = found[0] if len(found) == 1 else np.concatenate(found)
+        edges = np.array([0, len(words)]) if rows == 1 else np.searchsorted(row, np.arange(rows + 1))
         joined = np.zeros(len(words), np.uint64)
         for j in range(n):
             joined[: len(words) - j] += words[j:] * coefficients[j]
         joined = mix(joined, n)
-        edges = np.searchsorted(row, np.arange(rows + 1))
         for i in range(rows):
             first, last = edges[i], edges[i + 1]
             if last - first >= n:
@@ -110,6 +120,7 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
     size = len(s)
     tops = bands(percent, 1 << max(4, size.bit_length() + 1))
     band = int(np.searchsorted(tops, size))
+    hashed = mix(s, 6)
     out = []
     for group in (band, band + 1):
         k = differing(percent, tops, group)
@@ -117,62 +128,51 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
         if k == 0:
             out.append(mix(np.array([mix(s, 5).sum(dtype=np.uint64)]), salt))
             continue
-        few = k <= ENUMERATED
-        spare = 0 if few else -(-(k + 1) // 4)
-        n = k + 2 if few else k + 1 + spare
-        part = (mix(s, salt + 1) >> np.uint64(33)).astype(np.int64) % n
-        order = np.argsort(part, kind="stable")
-        counts = np.bincount(part, minlength=n)
-        sums = np.zeros(len(s) + 1, np.uint64)
-        np.cumsum(mix(s, 6)[order], out=sums[1:])
+        spare = 1 + k // 16
+        parts = k // 2 + 1 + spare
+        where = mix(s, salt + 1)
+        cell = ((where >> np.uint64(33)) % np.uint64(parts) * np.uint64(SUBPARTS) + (where & np.uint64(0xFFFFFFFF)) % np.uint64(SUBPARTS)).astype(np.int64)
+        counts = np.bincount(cell, minlength=parts * SUBPARTS)
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(hashed[np.argsort(cell, kind="stable")], out=sums[1:])
         ends = np.cumsum(counts)
-        content = sums[ends] - sums[ends - counts]
-        label = np.arange(n, dtype=np.uint64)
-        if few:
-            pairs = np.array(list(combinations(range(n), 2)), np.int64)
-            out.append(mix(mix(content[pairs[:, 0]] + label[pairs[:, 0]], salt + 2) + mix(content[pairs[:, 1]] + label[pairs[:, 1]], salt + 3), salt))
-        else:
-            kept = np.lexsort((label, content, counts))[spare:]
-            out.append(mix(mix(content[kept], salt + 2) + label[kept], salt))
+        content = (sums[ends] - sums[ends - counts]).reshape(parts, SUBPARTS)
+        counts = counts.reshape(parts, SUBPARTS)
+        content = (content.sum(axis=1, keepdims=True, dtype=np.uint64) - content).ravel()
+        counts = (counts.sum(axis=1, keepdims=True) - counts).ravel()
+        label = np.arange(parts * SUBPARTS, dtype=np.uint64)
+        kept = np.lexsort((label, content, counts))[spare:]
+        out.append(mix(mix(content[kept], salt + 2) + label[kept], salt))
     return np.concatenate(out)
 
 
-def _against_hub(hubs: pa.Array, texts: pa.Array, bound: Bound) -> Iterator[tuple[bool, np.ndarray, int, int]]:
-    """For each pair of texts: whether their sets are linked, the elements that the hub lacks, how many of them the
-    second set shares at least with any set of another component that it reaches, and the second set's size."""
-    for p, x in zip(shingles(hubs, bound.n), shingles(texts, bound.n), strict=True):
-        own = x[~np.isin(x, p, assume_unique=True)]
-        common = len(x) - len(own)
-        beyond = (len(p) + len(x) - 2 * common) * (100 + bound.percent) - (len(p) + len(x)) * (100 - bound.percent)
-        yield bound.linked(common, len(p), len(x)), own, max(1, -(-beyond // (2 * (100 + bound.percent)))), len(x)
-
-
-def document_sets(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """doc_id, n_shingles, node: the set's hash, null for an empty set."""
+def document_sets(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, digest, n_shingles, node of (doc_id, text): digest is the text's hash, node the set's, null if it's empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [(len(s), set_key(s) if len(s) else None) for s in shingles(batch.column(1), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int64())], ["doc_id", "n_shingles", "node"])
+            sets = [(len(s), set_key(s) if len(s) else None) for s in shingles(batch.column(2), n)]
+            columns = [batch.column(0), batch.column(1), pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "n_shingles", "node"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, node long")
+    return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "doc_id long, digest long, n_shingles long, node long")
 
 
 def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int) -> DataFrame:
-    """bucket, packed: (signature, set size, node) of a batch of documents, by bucket; copies within a batch once."""
+    """bucket, packed: (signature, node) of a batch of texts, by bucket; copies within a batch once."""
     n, percent = bound.n, bound.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        nodes: list[tuple[int, int, int]] = []
+        nodes: list[tuple[int, int]] = []
         seen: set[int] = set()
 
         def flush() -> Iterator[pa.RecordBatch]:
             signature = np.concatenate(held)
-            times, sizes, keys = (np.array(x, np.int64) for x in zip(*nodes, strict=True))
+            times, keys = (np.array(x, np.int64) for x in zip(*nodes, strict=True))
             bucket = (signature % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            rows = np.stack([signature, np.repeat(sizes, times).view(np.uint64), np.repeat(keys, times).view(np.uint64)], axis=1)[order]
+            rows = np.stack([signature, np.repeat(keys, times).view(np.uint64)], axis=1)[order]
             ends = np.cumsum(np.bincount(bucket, minlength=buckets))
             used = np.flatnonzero(np.diff(ends, prepend=0))
             packed = [rows[(ends[i - 1] if i else 0) : ends[i]].tobytes() for i in used]
@@ -186,7 +186,7 @@ def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int) -> DataFrame
                     continue
                 seen.add(key)
                 held.append(signatures(s, percent))
-                nodes.append((len(held[-1]), len(s), key))
+                nodes.append((len(held[-1]), key))
                 size += len(held[-1])
                 if size >= SORT_ROWS:
                     yield from flush()
@@ -197,138 +197,220 @@ def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int) -> DataFrame
     return docs.mapInArrow(run, "bucket long, packed binary")
 
 
-def _smallest(rows: np.ndarray) -> np.ndarray:
-    """Of rows (signature, set size, node), each signature's least one, by signature."""
-    rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
-    head = np.ones(len(rows), bool)
-    head[1:] = rows[1:, 0] != rows[:-1, 0]
-    return rows[head]
-
-
 def _shared(batches: Iterator[pa.RecordBatch], piece: int | None = None) -> Iterator[pa.RecordBatch]:
-    """hub, node: of each signature that several nodes share, the node of the smallest set and each other one.
+    """signature, node: the rows of signatures that several nodes have.
 
-    A bucket is read twice, piece by piece: the first pass settles every signature's hub, the second pairs its other
-    nodes with it. Between the passes the rows lie in a file, or in memory if they are but one piece.
+    A partition is read twice, piece by piece: the first pass finds those signatures, the second gives their rows.
+    Between the passes the rows lie in a file, or in memory if they are but one piece.
     """
     piece = piece or SORT_ROWS
-    hubs = np.zeros((0, 3), np.uint64)
+    known, least, several = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def merged(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = np.concatenate(held)
+        signature, node = np.concatenate([known, rows[:, 0]]), np.concatenate([least, rows[:, 1].view(np.int64)])
+        flag = np.concatenate([several, np.zeros(len(rows), bool)])
+        order = np.argsort(signature, kind="stable")
+        signature, node, flag = signature[order], node[order], flag[order]
+        heads = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]]))
+        low = np.minimum.reduceat(node, heads)
+        return signature[heads], low, np.logical_or.reduceat(flag, heads) | (low != np.maximum.reduceat(node, heads))
+
     held, size = [], 0
-    with SpooledTemporaryFile(max_size=24 * piece, dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None) as spool:
+    with SpooledTemporaryFile(max_size=16 * piece, dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None) as spool:
         for batch in batches:
             for packed in batch.column(0):
                 spool.write(packed.as_buffer())
-                held.append(np.frombuffer(packed.as_buffer(), np.uint64).reshape(-1, 3))
+                held.append(np.frombuffer(packed.as_buffer(), np.uint64).reshape(-1, 2).copy())
                 size += len(held[-1])
                 if size >= piece:
-                    hubs = _smallest(np.concatenate([hubs, *held]))
+                    known, least, several = merged(held)
                     held, size = [], 0
         if size:
-            hubs = _smallest(np.concatenate([hubs, *held]))
-        held.clear()
-        signature, smallest = hubs[:, 0].copy(), hubs[:, 2].copy().view(np.int64)
-        del hubs
+            known, least, several = merged(held)
+        held, least = [], least[:0]
+        known = known[several]
         spool.seek(0)
-        while data := spool.read(24 * piece):
-            rows = np.frombuffer(data, np.uint64).reshape(-1, 3)
-            node = rows[:, 2].copy().view(np.int64)
-            hub = smallest[np.searchsorted(signature, rows[:, 0])]
-            pairs = np.unique(np.stack([hub, node], axis=1)[node != hub], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hub", "node"])
-
-
-def shared_signatures(docs: DataFrame, text_col: str, bound: Bound, expected: int) -> DataFrame:
-    """Distinct hub, node. ``expected``: about how many signatures there are; it only sets how finely they are dealt."""
-    buckets = max(12, -(-expected // BUCKET_ROWS))
-    packed = _packed_signatures(docs.select(F.col(text_col).cast("string")), bound, buckets)
-    piece = SORT_ROWS
-    return packed.repartition(buckets, "bucket").select("packed").mapInArrow(lambda b: _shared(b, piece), "hub long, node long").distinct()
+        while len(known) and (data := spool.read(16 * piece)):
+            rows = np.frombuffer(data, np.uint64).reshape(-1, 2)
+            at = np.minimum(np.searchsorted(known, rows[:, 0]), len(known) - 1)
+            found = np.unique(rows[known[at] == rows[:, 0]].view(np.int64), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["signature", "node"])
 
 
-def compared(pairs: DataFrame, texts: DataFrame, bound: Bound) -> DataFrame:
-    """hub, node, linked, elements, shared, size for pairs (hub, node), as ``_against_hub`` has them; texts: (node, text).
+def shared_signatures(texts: DataFrame, bound: Bound, expected: int) -> DataFrame:
+    """Distinct signature, node. ``expected``: about how many signatures there are; it only sets how finely they are dealt."""
+    partitions = max(12, -(-expected // PARTITION_ROWS))
+    packed = _packed_signatures(texts, bound, 8 * partitions)
+    piece = SORT_ROWS
+    return packed.repartition(partitions, "bucket").select("packed").mapInArrow(lambda b: _shared(b, piece), "signature long, node long").distinct()
 
-    Only the texts of nodes in ``pairs`` move. Spark splits the joins on frequent nodes.
-    """
-    wanted = materialise(pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct(), "wanted")
-    texts = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted, "node", "left_semi")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = list(_against_hub(batch.column(2), batch.column(3), bound))
-            ends = np.cumsum([0, *(len(x[1]) for x in found)])
-            elements = np.concatenate([x[1] for x in found]).view(np.int64) if found else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(elements, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.bool_()), lists, *(pa.array([x[k] for x in found], pa.int32()) for k in (2, 3))], ["hub", "node", "linked", "elements", "shared", "size"])
+def _few(df: DataFrame) -> DataFrame:
+    """``df``, a written table, to be broadcast if its rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_NODES else df
 
-    side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
-    both = pairs.join(side("node"), "node").join(side("hub"), "hub").select("hub", "node", "text_hub", "text_node")
-    return both.mapInArrow(run, "hub long, node long, linked boolean, elements array<long>, shared int, size int")
 
+def compared(pairs: DataFrame, texts: DataFrame, bound: Bound, differences: bool = True) -> DataFrame:
+    """hub, node, linked, size, hub_size, diff for distinct pairs (hub, node); texts: (node, text).
 
-def _regrouped(checked: DataFrame, label: DataFrame, bound: Bound, candidates: int) -> tuple[DataFrame, bool]:
-    """The pairs (hub, node) of the next round, and whether they are the last ones.
+    diff holds the elements of one set alone, those that the node lacks inverted; null without ``differences``. The
+    members of a hub stream past it, in parts of ``HUB_MEMBERS`` at most on average.
+    """
+    parts = materialise(pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / HUB_MEMBERS).cast("int").alias("parts")), "parts")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+    members = pairs.join(_few(parts), "hub").select("hub", "node", part).join(texts, "node").select("hub", "part", "node", "text")
+    hubs = parts.select(F.col("hub").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(texts, "node")
+    both = members.unionByName(hubs.select(F.col("node").alias("hub"), "part", F.lit(None).cast("long").alias("node"), "text"))
+    both = both.repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("node").asc_nulls_first()).select("hub", "node", "text")
 
-    None where a hub's members are all of one component. Where the new groups hold no more pairs of different
-    components than a few times the ``candidates`` of the first round, those pairs themselves are the last round; else
-    each group's hub, the member of the smallest set and with the fewest elements of its own, meets the others.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = np.zeros(0, np.uint64)
+        for batch in batches:
+            rows, diffs, held = [], [], 0
+            for h, node, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingles(batch.column(2), bound.n), strict=True):
+                if node is None:
+                    hub = x
+                    continue
+                common = np.isin(x, hub, assume_unique=True)
+                count = int(np.count_nonzero(common))
+                rows.append((h, node, bound.linked(count, len(hub), len(x)), len(x), len(hub)))
+                if differences:
+                    diffs.append(np.concatenate([x[~common], ~hub[~np.isin(hub, x, assume_unique=True)]]))
+                    held += len(diffs[-1])
+                if held > SORT_ROWS:
+                    yield _checked(rows, diffs)
+                    rows, diffs, held = [], [], 0
+            if rows:
+                yield _checked(rows, diffs)
+
+    return both.mapInArrow(run, "hub long, node long, linked boolean, size int, hub_size int, diff array<long>")
+
+
+def _checked(rows: list[tuple], diffs: list[np.ndarray]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32())
+    columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+    if diffs:
+        ends = np.cumsum([0, *map(len, diffs)])
+        columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(diffs).view(np.int64))))
+    else:
+        columns.append(pa.nulls(len(rows), pa.list_(pa.int64())))
+    return pa.RecordBatch.from_arrays(columns, ["hub", "node", "linked", "size", "hub_size", "diff"])
+
+
+def _leaders(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """node, weight, leader: how many others a node meets by signature, and the weightiest node that it meets."""
+    often = members.groupBy("signature").agg(F.count(F.lit(1)).alias("n"))
+    weight = materialise(members.join(often, "signature").groupBy("node").agg(F.sum("n").alias("weight")), "weight")
+    tops = members.join(_few(weight), "node").groupBy("signature").agg(F.max(F.struct("weight", "node")).alias("top"))
+    leaders = members.join(tops, "signature").groupBy("node").agg(F.max("top").alias("top")).select("node", F.col("top.weight").alias("weight"), F.col("top.node").alias("leader"))
+    return weight, leaders
+
+
+def _unresolved(members: DataFrame, label: DataFrame | None) -> DataFrame:
+    """The rows of ``members`` (signature, node, ...) whose signature joins several components, with component added."""
+    if label is None:
+        out = members.withColumn("component", F.col("node"))
+    else:
+        out = members.join(_few(label), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = out.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("signature")
+    return out.join(several, "signature", "left_semi")
+
+
+def _prefixes(checked: DataFrame, bound: Bound) -> DataFrame:
+    """signature, node, component, size, far, near of (hub, node, linked, size, hub_size, diff, component).
+
+    A signature stands for a hub and an element. far: not linked to the hub; near: within the prefix for partners that
+    are far, which all rows that aren't far are.
     """
-    few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_NODES else df
-    ends = few(label)
-    named = lambda c: ends.select(F.col("node").alias(c), F.col("component").alias(f"{c}_component"))
-    doubtful = (F.size("elements") - F.col("shared") + 1).alias("doubtful")
-    narrow = checked.select("hub", "node", "size", doubtful, F.size("elements").alias("all")).join(named("hub"), "hub", "left").join(named("node"), "node", "left")
-    narrow = materialise(narrow.select("hub", "node", "size", "doubtful", "all", F.coalesce("hub_component", "hub").alias("hub_component"), F.coalesce("node_component", "node").alias("component")), "components")
-    apart = materialise(narrow.where("component <> hub_component").select("hub").distinct(), "apart")
-    narrow = few(materialise(narrow.join(few(apart), "hub", "left_semi").drop("hub_component"), "narrow"))
-    # A pair's elements move without its other columns, which are joined to what is left of them.
-    rows = checked.select("hub", "node", "elements").join(narrow.select("hub", "node", "component"), ["hub", "node"]).select("hub", "node", "component", F.explode("elements").alias("element"))
+    p = bound.percent
+    full = F.size("diff")
+    most = F.floor((100 - p) * F.col("size") / p) + 1
+    near = full - F.ceil(((100 - p) * (F.col("hub_size") - F.col("size")) + 1 + (100 + p) * full) / (2.0 * (100 + p))) + 1
+    reach = full - F.greatest(F.lit(1), F.ceil(((100 + p) * full - (100 - p) * (F.col("hub_size") + F.col("size"))) / (2.0 * (100 + p)))) + 1
+    narrow = checked.select("hub", "node", "component", "size", (~F.col("linked")).alias("far"), full.alias("full"), F.least(near, most).alias("near_to"), F.least(F.when(F.col("linked"), near).otherwise(reach), most).alias("reach"))
+    rows = checked.select("hub", "node", "component", F.explode("diff").alias("element"))
     often = rows.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").drop("low", "high")
     own = Window.partitionBy("hub", "node")
     rank, common = F.row_number().over(own.orderBy("times", "element")), F.count(F.lit(1)).over(own)
+    # elements that one component holds come first: no pair in question shares them
     rows = rows.drop("component").join(often, ["hub", "element"]).withColumn("common", common).withColumn("rank", rank).join(narrow, ["hub", "node"])
-    rows = rows.withColumn("alone", F.col("all") - F.col("common")).where("alone + rank <= doubtful").select("hub", "element", "node", "component", "size", "alone")
-    parts = rows.groupBy("hub", "element", "component").agg(F.count(F.lit(1)).cast("double").alias("n"), F.min(F.struct("size", "alone", "node")).alias("first"), F.bit_xor(F.xxhash64("node")).alias("who"))
-    groups = parts.groupBy("hub", "element").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.min("first").alias("first"), F.bit_xor("who").alias("who")).where("n * n > squares")
-    groups = groups.groupBy("hub", "who", "n", "squares", "first").agg(F.min("element").alias("element"))  # elements with the same members are one group
-    rows = materialise(rows.join(groups.select("hub", "element", "n", "squares", F.col("first.node").alias("next")), ["hub", "element"]), "rows")
-    across = rows.agg(F.coalesce(F.sum((F.col("n") - F.col("squares") / F.col("n")) / 2), F.lit(0.0))).first()[0]
-    if across > DIRECT_PAIRS * candidates:
-        return rows.where("node <> next").select(F.col("next").alias("hub"), "node").distinct(), False
-    left, right = (rows.select("hub", "element", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "size")]) for s in "ab")
-    both = left.join(right, ["hub", "element"]).where("node_a < node_b AND component_a <> component_b")
+    place = F.col("full") - F.col("common") + F.col("rank")
+    rows = rows.where(place <= F.col("reach")).select(F.xxhash64("hub", "element").alias("signature"), "node", "component", "size", "far", (place <= F.least("near_to", "reach")).alias("near"))
+    return rows
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """signature, who, pairs of the prefix groups that hold pairs of different components; pairs: how many."""
+    count = lambda c: F.sum(c.cast("double"))
+    linked, near, far = ~F.col("far"), F.col("far") & F.col("near"), F.col("far")
+    parts = rows.groupBy("signature", "component").agg(count(linked).alias("a"), count(near).alias("s"), count(far).alias("t"), F.bit_xor(F.xxhash64("node", "near")).alias("who"))
+    total = parts.groupBy("signature").agg(
+        (F.sum("a") * F.sum("t") - F.sum(F.col("a") * F.col("t")) + (F.sum("s") * F.sum("s") - F.sum(F.col("s") * F.col("s"))) / 2).alias("pairs"), F.bit_xor("who").alias("who"), (F.sum("a") + F.sum("t")).alias("n")
+    )
+    return total.where("pairs > 0").groupBy("who", "n", "pairs").agg(F.min("signature").alias("signature"))  # groups of the same members are one
+
+
+def _crossing(rows: DataFrame, bound: Bound) -> DataFrame:
+    """hub, node: the pairs of different components that prefix groups hold."""
+    left, right = (rows.select("signature", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "size", "far", "near")]) for s in "ab")
+    both = left.where("near_a").join(right.where("far_b"), "signature").where("component_a <> component_b AND (NOT far_a OR near_b AND node_a < node_b)")
     both = both.where((F.col("size_a") * 100 >= F.col("size_b") * bound.percent) & (F.col("size_b") * 100 >= F.col("size_a") * bound.percent))
-    return both.select(F.col("node_a").alias("hub"), F.col("node_b").alias("node")).distinct(), True
+    return both.select(F.least("node_a", "node_b").alias("hub"), F.greatest("node_a", "node_b").alias("node")).distinct()
+
+
+def _links(members: DataFrame, texts: DataFrame, bound: Bound) -> tuple[DataFrame | None, DataFrame | None]:
+    """Verified links (hub, node) and node, component of what they join; None without a shared signature."""
+    if members.isEmpty():
+        return None, None
+    weight, leaders = _leaders(members)
+    leaders = materialise(leaders, "leaders")
+    done = compared(leaders.where("leader <> node").select(F.col("leader").alias("hub"), "node"), texts, bound, differences=False)
+    links = [materialise(done.where("linked").select("hub", "node"), "links")]
+    label = joined(None, links[0], "hub", "node")
+    rows = materialise(_unresolved(members, label).drop("component"), "unresolved")
+    hubs = rows.join(_few(leaders), "node").groupBy("signature").agg(F.max(F.struct("weight", "leader")).alias("top")).select("signature", F.col("top.leader").alias("hub"))
+
+    while not rows.isEmpty():
+        placed = materialise(rows.join(hubs, "signature").where("hub <> node").select("signature", "hub", "node"), "placed")
+        checked = materialise(compared(placed.select("hub", "node").distinct(), texts, bound), "checked")
+        links.append(materialise(checked.where("linked").select("hub", "node"), "links"))
+        label = joined(label, links[-1], "hub", "node")
+        doubtful = materialise(_unresolved(placed, label).select("hub", "node", "component").distinct(), "doubtful")
+        prefixes = materialise(_prefixes(checked.join(_few(doubtful), ["hub", "node"]), bound), "prefixes")
+        discard(rows, placed, checked, doubtful)
+        met = materialise(_met(prefixes), "met")
+        rows = materialise(prefixes.join(_few(met).select("signature"), "signature", "left_semi"), "rows")
+        pairs, members_left = met.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0], rows.count()
+        discard(prefixes, met)
+        if pairs <= DIRECT_PAIRS * members_left:
+            if members_left:
+                done = compared(_crossing(rows, bound), texts, bound, differences=False)
+                links.append(materialise(done.where("linked").select("hub", "node"), "links"))
+                label = joined(label, links[-1], "hub", "node")
+            break
+        hubs = rows.join(_few(weight), "node").groupBy("signature").agg(F.max(F.struct("weight", "node")).alias("top")).select("signature", F.col("top.node").alias("hub"))
+    every = links[0]
+    for more in links[1:]:
+        every = every.unionByName(more)
+    return every, label
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: Bound = Bound()) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links), n_links.
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links), n_links: a row for each row.
 
     n_links counts the links of the document's set with other sets that the join needed to verify; copies aren't
     expanded into pairs, nor are pairs that are in one component already.
     """
-    sets = materialise(document_sets(docs, id_col, text_col, bound.n), "sets")
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    sets = materialise(document_sets(plain, bound.n), "sets")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    rate = 2 * (100 - bound.percent) / (100 + bound.percent)
-    pairs = materialise(shared_signatures(docs, text_col, bound, int(total * 2.4 * rate) + 1), "pairs")
-    nodes = sets.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"))
-    wanted = pairs.select(F.explode(F.array("hub", "node")).alias("node")).distinct()
-    owners = materialise(nodes.join(wanted, "node", "left_semi"), "owners")
-    plain = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).cast("string").alias("text"))
-    small = owners.count() <= BROADCAST_NODES
-    texts = materialise(plain.join(F.broadcast(owners) if small else owners, "least").select("node", "text"), "texts")
-
-    links, label, last, candidates = None, None, False, pairs.count()
-    while not pairs.isEmpty():
-        checked = materialise(compared(pairs, texts, bound), "checked")
-        found = checked.where("linked").select("hub", "node")
-        links = found if links is None else links.unionByName(found)
-        label = joined(label, found, "hub", "node")
-        if last:
-            break
-        pairs, last = _regrouped(checked, label, bound, candidates)
-        pairs = materialise(pairs, "pairs")
-
+    rate = SUBPARTS * 2 * (100 - bound.percent) / (100 + bound.percent)
+    members = materialise(shared_signatures(plain.select("text"), bound, int(total * rate * 1.2) + 1), "members")
+    texts = materialise(_texts(plain, sets, members), "texts")
+    links, label = _links(members, texts, bound)
+    discard(members, texts)
+    nodes = sets.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
     if links is None:
         return _classes(sets, nodes.withColumn("component", F.col("node")).withColumn("n_links", F.lit(0)))
     degree = links.distinct().select(F.explode(F.array("hub", "node")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
@@ -336,6 +418,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _classes(sets, classes.withColumn("component", F.coalesce("component", "node")))
 
 
+def _texts(plain: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
+    """node, text: a text of each node of ``members``, that of the row with the smallest id and hash."""
+    wanted = materialise(members.select("node").distinct(), "wanted")
+    owner = F.min(F.struct("doc_id", "digest")).alias("owner")
+    owners = materialise(sets.join(_few(wanted), "node", "left_semi").groupBy("node").agg(owner).select("node", "owner.*"), "owners")
+    same: Column = F.col("p.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("p.digest") == F.col("o.digest"))
+    found = plain.withColumn("digest", F.xxhash64("text")).alias("p").join(_few(owners).alias("o"), same).select("node", "text")
+    return found.dropDuplicates(["node"])
+
+
 def _classes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """The documents of ``sets`` with the smallest document of their node's component."""
     least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))

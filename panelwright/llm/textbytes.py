@@ -71,6 +71,22 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         first = last
 
 
+def cuts(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``PIECE_BYTES`` of one text's bytes, cut at white space; a single longer word is kept whole."""
+    first = 0
+    while len(data) - first > PIECE_BYTES:
+        white = np.flatnonzero(_WHITE[data[first : first + PIECE_BYTES]])
+        if len(white):
+            last = first + int(white[-1]) + 1
+        else:
+            last = first + PIECE_BYTES
+            while last < len(data) and not _WHITE[data[last]]:
+                last += 1
+        yield first, last
+        first = last
+    yield first, len(data)
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of each run of bytes other than ``breaks``, ASCII white space unless given, in order."""
     n = len(data)

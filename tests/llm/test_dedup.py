@@ -79,21 +79,63 @@ def test_near_duplicates_match_brute_force(spark, bound):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in found} == brute_classes(texts, bound)
 
 
-def test_hubs_do_not_depend_on_the_order_of_pieces(monkeypatch):
+def test_shared_signatures_do_not_depend_on_pieces(monkeypatch):
     import numpy as np
     import pyarrow as pa
 
     from panelwright.llm import near_dup
 
-    monkeypatch.setattr(near_dup, "SORT_ROWS", 2)
     r = random.Random(6)
-    rows = [(s, 10 + (s * 7 + m) % 5, 100 * s + m) for s in range(6) for m in range(s + 1)]
-    want = {(min((z, n) for t, z, n in rows if t == s)[1], node) for s, _, node in rows} - {(n, n) for _, _, n in rows}
-    for _ in range(20):
-        r.shuffle(rows)
-        packed = [np.array(rows[i : i + 3], np.uint64).tobytes() for i in range(0, len(rows), 3)]
-        found = [x for b in near_dup._shared(iter([pa.record_batch([pa.array(packed, pa.binary())], ["packed"])])) for x in zip(*b.to_pydict().values(), strict=True)]
-        assert set(found) == want
+    rows = [(s, -5 + (s * 7 + m) % 5) for s in range(6) for m in range(s + 1)] + [(9, 3)] * 4
+    want = {(s, n) for s, n in rows if len({m for t, m in rows if t == s}) > 1}
+    for piece in (2, 3, 1000):
+        for _ in range(10):
+            r.shuffle(rows)
+            packed = [np.array(rows[i : i + 3], np.int64).tobytes() for i in range(0, len(rows), 3)]
+            found = [x for b in near_dup._shared(iter([pa.record_batch([pa.array(packed, pa.binary())], ["packed"])]), piece) for x in zip(*b.to_pydict().values(), strict=True)]
+            assert set(found) == want
+
+
+@pytest.mark.parametrize("direct", [-1, 4])
+def test_near_duplicates_by_rounds_match_brute_force(spark, monkeypatch, direct):
+    """Families around the bound, passages that many texts share, sets of 2 to 2000 shingles, hubs in many parts."""
+    monkeypatch.setattr("panelwright.llm.near_dup.DIRECT_PAIRS", direct)
+    monkeypatch.setattr("panelwright.llm.near_dup.HUB_MEMBERS", 3)
+    r = random.Random(17)
+    bound, texts = Bound(80, 3), {}
+    passage = " ".join("".join(r.choices("abcdefgh", k=4)) for _ in range(40))
+    for size, copies, most in ((4, 10, 2), (12, 40, 3), (60, 80, 12), (60, 40, 4), (400, 20, 60), (2000, 8, 250)):
+        base = " ".join("".join(r.choices("abcdefgh", k=4)) for _ in range(size))
+        for _ in range(copies):
+            texts[len(texts)] = family(r, base, r.randint(0, most))
+    for _ in range(60):
+        texts[len(texts)] = passage + " " + " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(r.randint(0, 30)))
+    rows = [(i, t, "x", "y") for i, t in texts.items()]
+    r.shuffle(rows)
+    found = near_duplicates(spark.createDataFrame(rows, DOCS).repartition(5), bound=bound).collect()
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in found} == brute_classes(texts, bound)
+
+
+def test_near_duplicates_with_repeated_and_missing_ids(spark):
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(5, a), (5, b), (5, a), (7, a + " more"), (3, b + " more"), (None, b), (None, "only here at all times"), (9, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, None, None) for i, t in rows], DOCS)
+    found = near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
+    key = lambda x: tuple(-1 if v is None else v for v in x)
+    want = [(5, 56, 5), (5, 56, 5), (5, 56, 3), (7, 57, 5), (3, 57, 3), (None, 56, 3), (None, 1, None), (9, 0, 9), (None, 0, None)]
+    assert sorted(map(key, found)) == sorted(map(key, want))
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Compared pairs stay a few times the copies, and the classes are those of brute force on numbers."""
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows, spots = [], {}
+    for i in range(500):
+        spots[i] = frozenset(r.sample(range(4, 116), r.choice([0, 1, 1, 2, 3, 6, 12])))
+        rows.append((i, " ".join(f"x{i}_{j}" if j in spots[i] else w for j, w in enumerate(base)), None, None))
+    found = {x["doc_id"]: x["component_id"] for x in near_duplicates(spark.createDataFrame(rows, DOCS), bound=Bound(85, 4)).collect()}
+    assert found == {i: c for i, (_, c) in brute_classes({i: t for i, t, _, _ in rows}, Bound(85, 4)).items()}
 
 
 @pytest.mark.parametrize("piece", [3, 40])
@@ -135,7 +177,7 @@ def test_signatures_of_similar_sets_meet():
 def test_shingles_of_long_and_odd_texts():
     import pyarrow as pa
 
-    texts = ["a b c d e f", None, "", "  ", "é É x", "A b\x0bC\rd", "z" * 3_000_000, "w " * 20_000]
+    texts = ["a b c d e f", None, "", "  ", "é É x", "A b\x0bC\rd", "z" * 3_000_000, "w " * 20_000, " ".join(map(str, range(400_000))), "a " + "z" * 5_000_000 + " b c d e f"]
     found = [len(s) for s in shingles(pa.array(texts), 5)]
     assert found == [len(words_set(t, 5)) for t in texts]
 
@@ -166,3 +208,14 @@ def test_line_dedup_of_nothing_and_of_a_long_text(spark):
     long = "\n".join(f"line {i % 5000}" for i in range(20_000))
     out = dedup_lines(spark.createDataFrame([(1, long, None, None)], DOCS)).select("n_lines", "n_removed", F.length("text").alias("n")).first()
     assert (out["n_lines"], out["n_removed"]) == (20_000, 15_000)
+
+
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    rows = [(1, "a\nb\nc\nd"), (2, "a\nb\nc\nd\ne"), (2, "x\ny\nz\nw"), (None, "p\nq\nr"), (None, "p\nq\nr\ns"), (None, None), (5, "p\nq\nr"), (6, "m\nn\no"), (6, "m\nn\no")]
+    out = dedup_lines(spark.createDataFrame([(i, t, None, None) for i, t in rows], DOCS)).select("doc_id", "text", "n_removed").collect()
+    key = lambda x: tuple(str(v) for v in x)
+    got = sorted(map(key, out))
+    first_null = min(["p\nq\nr", "p\nq\nr\ns"], key=lambda t: spark.range(1).select(F.xxhash64(F.lit(t))).first()[0])
+    second = ("", 3) if first_null != "p\nq\nr" else ("s", 3)
+    want = [(1, "a\nb\nc\nd", 0), (2, "e", 4), (2, "x\ny\nz\nw", 0), (None, first_null, 0), (None, *second), (None, None, 0), (5, "", 3), (6, "m\nn\no", 0), (6, "m\nn\no", 0)]
+    assert got == sorted(map(key, want))
