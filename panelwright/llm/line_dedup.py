@@ -1,14 +1,15 @@
 """Line deduplication by overlapping three-line windows.
 
 Texts are split at line feeds. Every three consecutive lines that hold more than white space form a window, identified
-by a 128-bit hash of its lines. A window's first occurrence is the one with the smallest (document id, line number);
-every later occurrence covers its lines, and covered lines go. Each line that goes is still there at an earlier place:
+by a 128-bit hash of its lines. A window's first occurrence is the one with the smallest (document id, text hash, line
+number), null ids first; every later occurrence covers its lines, and covered lines go. Each line that goes is still there at an earlier place:
 the same line of the window's first occurrence either stays or was covered by a window that began earlier still.
 
 Defined results: a text of one or two such lines is one window of its own length, so that whole short copies are
 found. Lines of white space alone are in no window and stay unless all others of their text go. A null text has no
-windows and stays null; an empty text stays as it is; equal rows (same id and text) count as one occurrence. Other
-columns, whatever their names, aren't read.
+windows and stays null; an empty text stays as it is. Rows are told apart by their id and the hash of their text: rows
+that share only their id are documents of their own, and so are rows without an id; equal rows (same id and text) count
+as one occurrence. Other columns, whatever their names, aren't read.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ def _bind(value: Column, body) -> Column:
 
 
 def line_windows(docs: DataFrame, id_col: str, text_col: str, lines: int = WINDOW_LINES) -> DataFrame:
-    """doc_id, first (index of its first line), last, w1, w2: a row for each window of each document."""
+    """doc_id, digest (of the text), first (index of its first line), last, w1, w2: a row for each window of each document."""
     split = F.split(F.col(text_col), "\n", -1)
     inked = F.filter(F.transform(split, lambda x, i: F.when(x.rlike(_INK), F.struct(i.alias("at"), F.xxhash64(x).alias("a"), F.xxhash64(F.lit(7), x).alias("b")))), lambda x: x.isNotNull())
 
@@ -39,20 +40,20 @@ def line_windows(docs: DataFrame, id_col: str, text_col: str, lines: int = WINDO
 
         return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - lines, F.lit(0))), window))
 
-    return docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.explode(_bind(inked, windows)).alias("w")).select("doc_id", "w.*")
+    return docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("digest"), F.explode(_bind(inked, windows)).alias("w")).select("doc_id", "digest", "w.*")
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines: int = WINDOW_LINES) -> DataFrame:
-    """doc_id, covered: for each document that loses lines, the merged ranges (first, last) of line numbers.
+    """doc_id, digest, covered: for each document that loses lines, the merged ranges (first, last) of line numbers.
 
     First occurrences are found by an aggregate that is combined before the shuffle, and only windows that occur more
     than once are joined back, so that neither a frequent window nor a frequent document gathers in a task.
     """
     every = line_windows(docs, id_col, text_col, lines)
-    place = F.struct("doc_id", "first")
+    place = F.struct("doc_id", "digest", "first")
     found = every.groupBy("w1", "w2").agg(F.min(place).alias("earliest"), F.max(place).alias("latest")).where(F.col("earliest") != F.col("latest"))
     later = every.join(found.select("w1", "w2", "earliest"), ["w1", "w2"]).where(place != F.col("earliest"))
-    return later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("covered"))
+    return later.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("covered"))
 
 
 def _without(parts: Column) -> Column:
@@ -76,7 +77,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.col("row")[text_col]
     split = F.split(text, "\n", -1)
     whole = docs.select(F.struct(*docs.columns).alias("row"))
-    out = whole.join(gone, F.col("row")[id_col] == F.col("doc_id"), "left")
+    out = whole.join(gone, F.col("row")[id_col].eqNullSafe(F.col("doc_id")) & (F.xxhash64(text) == F.col("digest")), "left")
     cleaned = _bind(F.struct(split.alias("lines"), F.col("covered").alias("covered")), _without)
     out = out.select("row", F.when(F.col("covered").isNotNull(), cleaned).alias("cleaned"))
     added = {
