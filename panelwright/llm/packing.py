@@ -10,6 +10,9 @@ a queue with an explicit target runs dry, a new phase shares its part among the
 Documents are cut freely at window, sequence and phase boundaries; each token lies in exactly one piece, sequences are
 gapless, and only the last one is shorter than ``length``.
 
+Where there are more sources than ``MAX_SOURCES``, those without a target are pooled by hash into that many queues:
+a window then holds each pool's share, and a pool gives its sources' tokens one source after another.
+
 Defined results: a null text counts as an empty one, which is the end token alone; null sources are one queue. Equal
 rows are packed each for itself. An empty table gives no pieces. Sources without a positive target come last, in the
 proportions that they have. Other columns, whatever their names, aren't read.
@@ -30,13 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.scratch import materialise
+from panelwright.llm.scratch import discard, materialise
 
 #: Tokens in a sequence, sequences in a window, and the id that ends each document.
 LENGTH, WINDOW, END_ID = 1024, 64, 0
 #: Queue totals by partition that may be broadcast; beyond it the same join shuffles.
 BROADCAST_TOTALS = 200_000
-#: Sources are the queues of the mixture, whose totals and targets the driver holds.
+#: Sources are the queues of the mixture, whose totals and targets the driver holds; where there are more, those without
+#: a target of their own share so many queues.
 MAX_SOURCES = 10_000
 
 #: Texts of these characters alone are encoded by tiktoken, several times faster from the same vocabulary.
@@ -44,7 +48,7 @@ _PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-ɏ]")
 
 
 class Encoder:
-    """Token ids of whole texts as ``tokenizers`` gives them, special strings being ordinary text."""
+    """Token ids of whole texts as ``tokenizers`` gives them; a special string of the text is its token."""
 
     def __init__(self, name: str = "byte_bpe_50k"):
         import os
@@ -57,14 +61,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        self.full.encode_special_tokens = True
+        self.added = {t.content: i for i, t in self.full.get_added_tokens_decoder().items()}
+        self.special = re.compile("|".join(map(re.escape, self.added)) or r"(?!)")
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.ranks = ranks
 
     def ids(self, text: str) -> np.ndarray:
-        if _PLAIN.search(text) is None:
+        if _PLAIN.search(text) is None and self.special.search(text) is None:
             return self.fast.encode_to_numpy(text, disallowed_special=())
         return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -192,13 +197,16 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """
     tokens = materialise(encoded(docs, id_col, text_col, source_col), "tokens")
     parts = tokens.groupBy("part", "source").agg(F.sum("n").alias("total"))
-    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = materialise(parts.withColumn("begin", F.coalesce(F.sum("total").over(before), F.lit(0))), "begins")
-    queues = begins.groupBy("source").agg(F.sum("total").alias("total")).orderBy("source").limit(MAX_SOURCES + 1).collect()
-    if len(queues) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: map them to groups first")
-    rank = {r["source"]: i for i, r in enumerate(queues)}
-    phases = plan_phases([r["total"] for r in queues], None if targets is None else [float(targets.get(r["source"], 0)) for r in queues])
+    parts = materialise(parts, "parts")
+    queue = F.col("source")
+    if parts.select("source").distinct().count() > MAX_SOURCES:
+        queue = F.when(queue.isin(list(targets or ())), queue).otherwise(F.concat(F.lit("pool\0"), F.pmod(F.xxhash64("source"), F.lit(MAX_SOURCES))))
+    before = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = materialise(parts.withColumn("queue", queue).withColumn("begin", F.coalesce(F.sum("total").over(before), F.lit(0))), "begins")
+    discard(parts)
+    queues = begins.groupBy("queue").agg(F.sum("total").alias("total")).orderBy("queue").collect()  # MAX_SOURCES and the targets at most
+    rank = {r["queue"]: i for i, r in enumerate(queues)}
+    phases = plan_phases([r["total"] for r in queues], None if targets is None else [float(targets.get(r["queue"], 0)) for r in queues])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layout = Layout(phases, length * window)
@@ -208,11 +216,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     def cut(batch: pa.RecordBatch, layout: Layout) -> Iterator[pa.RecordBatch]:
         rows = {k: [] for k in ("doc_id", "source", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")}
-        doc_ids, sources, firsts, counts = (batch.column(i).to_pylist() for i in range(4))
-        for doc_id, source, at, n, packed in zip(doc_ids, sources, firsts, counts, batch.column(4), strict=True):
+        doc_ids, sources, names, firsts, counts = (batch.column(i).to_pylist() for i in range(5))
+        for doc_id, source, name, at, n, packed in zip(doc_ids, sources, names, firsts, counts, batch.column(5), strict=True):
             data = packed.as_buffer()
             ids = np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype("<u4")
-            for start, size, position in layout.runs(rank[source], at, n):
+            for start, size, position in layout.runs(rank[name], at, n):
                 while size:
                     part = min(size, length - position % length)
                     piece = ids[start : start + part]
@@ -233,7 +241,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         yield pa.RecordBatch.from_arrays(columns, list(rows))
 
     small = begins.count() <= BROADCAST_TOTALS
-    side = begins.select("part", "source", "begin")
-    placed = tokens.join(F.broadcast(side) if small else side, ["part", "source"]).select("doc_id", "source", (F.col("begin") + F.col("at")).alias("first"), "n", "ids")
+    side = begins.select("part", "source", "queue", "begin")
+    placed = tokens.join(F.broadcast(side) if small else side, ["part", "source"]).select("doc_id", "source", "queue", (F.col("begin") + F.col("at")).alias("first"), "n", "ids")
     schema = "doc_id long, source string, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return placed.mapInArrow(run, schema)

@@ -56,8 +56,10 @@ def section_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = encoder().ranks
-        lengths = np.zeros(max(ranks.values()) + 2, np.int64)
+        lengths = np.zeros(max(*ranks.values(), *encoder().added.values()) + 1, np.int64)
         lengths[list(ranks.values())] = [len(b) for b in ranks]
+        for content, i in encoder().added.items():
+            lengths[i] = len(content.encode())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 yield rows(batch.slice(at, 256), lengths)

@@ -20,9 +20,7 @@ DOCS = "doc_id long, text string, source string, start string, ids string"
 
 @pytest.fixture(scope="module")
 def reference():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def corpus():
@@ -32,13 +30,54 @@ def corpus():
     return [(i, t, None if i == 3 else f"s{0 if i % 3 else i % 4}", "x", "y") for i, t in enumerate(texts)]
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(max_size=80))
+LATIN = st.text(alphabet=st.sampled_from(" \n\t.,;:'-\"()!?0123456789aAbeEioOstTrRnßéÉèñçüžØſ\xa0\u0178"), max_size=200)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.one_of(st.text(max_size=80), LATIN, st.builds("{}<|endoftext|>{}".format, LATIN, LATIN)))
 def test_ids_are_those_of_the_tokenizer(text):
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")) if not hasattr(test_ids_are_those_of_the_tokenizer, "t") else test_ids_are_those_of_the_tokenizer.t
-    test_ids_are_those_of_the_tokenizer.t = t
-    t.encode_special_tokens = True
-    assert encoder().ids(text).tolist() == t.encode(text, add_special_tokens=False).ids
+    own = test_ids_are_those_of_the_tokenizer
+    if not hasattr(own, "t"):
+        own.t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert encoder().ids(text).tolist() == own.t.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_whole_documents(spark, reference):
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    for text, e in zip(texts, reference.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert encoder().ids(text).tolist() == e.ids
+
+
+@pytest.mark.parametrize("targets", [None, {"s0": 0.7}])
+def test_more_sources_than_queues(spark, monkeypatch, targets):
+    monkeypatch.setattr("panelwright.llm.packing.MAX_SOURCES", 3)
+    rows = [(i, "word " * (i % 7), f"s{i % 11}") for i in range(120)]
+    pieces = pack(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), targets=targets, length=64, window=2).collect()
+    by_doc, by_sequence = defaultdict(int), defaultdict(list)
+    for p in pieces:
+        by_doc[p["doc_id"]] += p["length"]
+        by_sequence[p["sequence_id"]].append(p)
+        assert p["source"] == f"s{p['doc_id'] % 11}"
+    assert by_doc == {p["doc_id"]: p["doc_tokens"] for p in pieces} and len(by_doc) == 120
+    for at, own in by_sequence.items():
+        own.sort(key=lambda p: p["offset"])
+        assert [p["offset"] for p in own] == np.cumsum([0, *[p["length"] for p in own]])[:-1].tolist()
+    lengths = [sum(p["length"] for p in by_sequence[s]) for s in sorted(by_sequence)]
+    assert all(n == 64 for n in lengths[:-1])
+
+
+def test_windows_hold_their_shares(spark):
+    """Each window of registered production form holds each source's target to within a token a source."""
+    r = random.Random(5)
+    rows = [(i, "word " * r.randint(1, 300), f"s{min(r.randrange(9), 5)}") for i in range(900)]
+    pieces = pack(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5), window=4).collect()
+    total, windows = defaultdict(int), defaultdict(lambda: defaultdict(int))
+    for p in pieces:
+        total[p["source"]] += p["length"]
+        windows[p["sequence_id"] // 4][p["source"]] += p["length"]
+    n = sum(total.values())
+    for w in range(n // 4096):
+        assert all(abs(windows[w][s] - 4096 * total[s] / n) <= len(total) for s in total)
 
 
 @pytest.mark.parametrize("targets", [None, {"s0": 0.5, "s1": 0.3, "s2": 0.2}])
@@ -89,6 +128,11 @@ def test_section_counts_match_the_offsets(spark, reference):
             want[overlap.index(max(overlap))] += 1
         if all(ord(c) < 0x250 for c in text):
             assert [x["n_tokens"] for x in own] == want
+            crossing = [0] * len(own)
+            for a, b in e.offsets:
+                overlap = [min(b, x["end"]) - max(a, x["start"]) for x in own]
+                crossing[overlap.index(max(overlap))] += sum(o > 0 for o in overlap) > 1
+            assert [x["n_crossing"] for x in own] == crossing
         assert sum(x["n_tokens"] for x in own) == len(e.ids)
     assert section_tokens(spark.createDataFrame([], DOCS)).collect() == []
 
