@@ -4,33 +4,51 @@ Each shard's vectors are split at medians of their widest dimension into leaves,
 box. A query walks a shard's tree best first: the bound of a box is the largest inner product any point in it could
 have, and a node is opened only while its bound can still beat the query's kth score. The search runs in two Spark
 rounds: each query first meets one shard, and the kth score found there is propagated to all others as the starting
-bar, so that most of their nodes are never opened.
+bar, so that most of their nodes, often the whole tree, are never opened.
 
-Defined results: vectors that are null, or that hold a null or non-finite component, take no part. Fewer than k
-candidates give fewer rows; ties go to the smaller id; repeated vectors are separate candidates; an empty table gives
-no rows. Vectors of unequal length are compared as if padded with zeros. Integer components must stay below 2**24 in
-size, which keeps every sum within 64 bits. Other columns, whatever their names, aren't read.
+A shard's vectors and then its queries stream through one task, so a tree is built once a round and only its own shard
+is held. A query's hits are cut to the k best of each task before they are shuffled.
+
+Scores are whole numbers, exact up to 64 bits: where the sizes of the components keep all sums below 2**53 they are
+worked out in floating point, else in 64-bit integers; bounds allow for rounding.
+
+Defined results: vectors that are null, or that hold a null or non-finite component, take no part; nor do rows without
+an id. Fewer than k candidates give fewer rows; ties go to the smaller id; rows of equal ids or vectors are candidates
+each for itself, but no row with the query's own id is. Equal query rows give their rows once; queries of one id with
+different vectors are ranked each for itself, so that ranks repeat for that id. An empty table gives no rows. Vectors of
+unequal length are compared as if padded with zeros. Components, and sums of products, that 64 bits can't hold raise an
+error. Other columns, whatever their names, aren't read.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors in a shard, queries in a block, vectors in a leaf of a tree.
-SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 16_384, 4_096, 128
+from panelwright.llm.scratch import materialise
+
+#: Vectors in a shard, vectors in a leaf of a tree.
+SHARD_ROWS, LEAF_ROWS = 65_536, 128
+#: Components whose size is no less than this raise an error.
+LARGEST = 1 << 62
 
-_HITS = "query_id long, vec_id long, score long"
+_HITS = "query_id long, query long, vec_id long, score long"
 
 
 def quantised(vector: str = "embedding", scale: int = 256) -> Column:
-    """floor(scale * x) of each component, taken as double."""
-    return F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long"))
+    """floor(scale * x) of each component, taken as double; an error for one that 64 bits can't hold."""
+
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * F.lit(float(scale))
+        return F.when(F.abs(y) < F.lit(float(LARGEST)), F.floor(y).cast("long")).otherwise(F.raise_error(F.lit("a component is beyond 64 bits")))
+
+    return F.transform(F.col(vector), whole)
 
 
 def usable(vector: str = "embedding") -> Column:
@@ -61,69 +79,97 @@ class KDTree:
                 self.order[first:last] = rows
                 stack += [(first + middle, last, node, 1), (first, first + middle, node, 0)]
         self.vectors, self.ids = vectors[self.order], ids[self.order]
+        self.real = self.vectors.astype(np.float64)
+        self.peak = int(np.abs(self.vectors).max(initial=0))
         self.low, self.high = np.array(self.low, np.float64), np.array(self.high, np.float64)
+        self.least = np.array(self.least, np.int64)
 
-    def search(self, query: np.ndarray, own: int, k: int, bar: float) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, query: np.ndarray, own: int, k: int, bar: int | None) -> tuple[list[int], list[int]]:
         """The ids and scores of the k best but ``own``, leaving out what scores below ``bar``."""
-        up, down = np.maximum(query, 0.0), np.minimum(query, 0.0)
-        bounds = self.high @ up + self.low @ down  # the largest product a point of each box could have
-        best: list[tuple[float, int]] = []  # (score, -id): the worst first
+        most = query.shape[0] * self.peak * int(np.abs(query).max(initial=0))  # no sum is larger
+        if most >= 1 << 63:
+            raise ValueError("a sum of products may be beyond 64 bits")
+        q = query.astype(np.float64)
+        bounds = self.high @ np.maximum(q, 0.0) + self.low @ np.minimum(q, 0.0)  # the largest product a point of each box could have
+        exact = most < 1 << 53
+        if not exact:
+            bounds += most * 2.0**-44
+        best: list[tuple[int, int]] = []  # (score, -id): the worst first
         heap = [(-bounds[0], 0)]
         while heap:
             bound, node = heapq.heappop(heap)
             bound = -bound
-            if bound < bar or (len(best) == k and (bound, -self.least[node]) < best[0]):
-                if bound < bar or bound < best[0][0]:
-                    break
+            if (bar is not None and bound < bar) or (len(best) == k and bound < best[0][0]):
+                break
+            if len(best) == k and bound == best[0][0] and -self.least[node] < best[0][1]:
                 continue
             left, right = self.children[node]
             if left >= 0:
                 for child in (left, right):
-                    if bounds[child] >= bar:
+                    if bar is None or bounds[child] >= bar:
                         heapq.heappush(heap, (-bounds[child], child))
                 continue
             first, last = self.span[node]
-            scores = self.vectors[first:last] @ query
-            floor = max(bar, best[0][0]) if len(best) == k else bar
-            for i in np.flatnonzero(scores >= floor):
+            scores = (self.real[first:last] @ q).astype(np.int64) if exact else (self.vectors[first:last] * query).sum(axis=1)
+            floor = best[0][0] if len(best) == k else bar
+            if bar is not None and len(best) == k:
+                floor = max(floor, bar)
+            for i in range(len(scores)) if floor is None else np.flatnonzero(scores >= floor):
                 who = int(self.ids[first + i])
                 if who == own:
                     continue
-                entry = (float(scores[i]), -who)
+                entry = (int(scores[i]), -who)
                 if len(best) < k:
                     heapq.heappush(best, entry)
                 elif entry > best[0]:
                     heapq.heapreplace(best, entry)
-        return np.array([-x[1] for x in best], np.int64), np.array([x[0] for x in best], np.int64)
+        return [-x[1] for x in best], [x[0] for x in best]
 
 
-def _stack(values: pd.Series, width: int) -> np.ndarray:
-    if all(len(v) == width for v in values):
-        return np.stack(values.to_numpy()).astype(np.float64)
-    out = np.zeros((len(values), width))
-    for i, v in enumerate(values):
+def _stack(column: pa.ListArray) -> list[np.ndarray]:
+    flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *column.value_lengths().to_pylist()])
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _padded(vectors: list[np.ndarray], width: int) -> np.ndarray:
+    out = np.zeros((len(vectors), width), np.int64)
+    for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
 
 
-def _search_shard(queries: pd.DataFrame, shard: pd.DataFrame, k: int) -> pd.DataFrame:
-    if queries.empty or shard.empty:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-    width = max(queries["q"].map(len).max(), shard["v"].map(len).max())
-    tree = KDTree(_stack(shard["v"], width), shard["vec_id"].to_numpy())
-    ids, hits, scores = [], [], []
-    for own, query, bar in zip(queries["query_id"], _stack(queries["q"], width), queries["bar"].fillna(-np.inf), strict=True):
-        found, score = tree.search(query, own, k, bar)
-        ids.append(np.full(len(found), own))
-        hits.append(found)
-        scores.append(score)
-    return pd.DataFrame({"query_id": np.concatenate(ids), "vec_id": np.concatenate(hits), "score": np.concatenate(scores)}).astype("int64")
+def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Hits of rows (shard, query_id, query, id, v, bar) sorted by shard, vectors before queries (query is null for vectors)."""
+    shard, tree, held, ids, width, copies = None, None, [], [], 0, Counter()
+    for batch in batches:
+        hits: tuple[list, list, list, list] = ([], [], [], [])
+        for at, query_id, query, vec_id, v, bar in zip(*(batch.column(i).to_pylist() for i in range(4)), _stack(batch.column(4)), batch.column(5).to_pylist(), strict=True):
+            if at != shard:
+                shard, tree, held, ids, width, copies = at, None, [], [], 0, Counter()
+            if query is None:
+                key = vec_id, v.tobytes()
+                if copies[key] < k:  # no more of a repeated row's copies can be among the k best
+                    copies[key] += 1
+                    held.append(v), ids.append(vec_id)
+                continue
+            if tree is None and held:
+                width = max(map(len, held))
+                tree, held = KDTree(_padded(held, width), np.array(ids, np.int64)), []
+                copies.clear()
+            if tree is None:
+                continue
+            if len(v) < width:
+                v = np.concatenate([v, np.zeros(width - len(v), np.int64)])
+            found, scores = tree.search(v[:width], query_id, k, bar)
+            for to, x in zip(hits, ([query_id] * len(found), [query] * len(found), found, scores), strict=True):
+                to += x
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in hits], ["query_id", "query", "vec_id", "score"])
 
 
-def _best(hits: DataFrame, k: int) -> DataFrame:
-    """The k best of each query; each shard hands in k at most, so a group has k rows per shard."""
-    top = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("score", (-F.col("vec_id")).alias("neg"))))), 1, k)
-    return hits.groupBy("query_id").agg(top.alias("top"))
+def _ranked(hits: DataFrame, k: int) -> DataFrame:
+    """``hits`` with a rank, the k best of each query; Spark cuts each task's rows to k a query before it shuffles them."""
+    best = Window.partitionBy("query_id", "query").orderBy(F.col("score").desc(), "vec_id")
+    return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
@@ -131,28 +177,24 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
 
     ``queries`` are rows of the same form, usually of the same table; a candidate with the query's own id is left out.
     """
-    form = lambda df, i, v: df.where(usable(vector_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias(i), quantised(vector_col, scale).alias(v))
-    base, asked = form(vectors, "vec_id", "v"), form(queries, "query_id", "q")
-    sizes = [base.select(F.count(F.lit(1))).first()[0], asked.select(F.count(F.lit(1))).first()[0]]
-    shards, blocks = (max(1, -(-n // m)) for n, m in zip(sizes, (SHARD_ROWS, BLOCK_ROWS), strict=True))
-    place = lambda c, n, salt: F.pmod(F.xxhash64(F.col(c), F.lit(salt)), F.lit(n)).cast("int")
-    base = base.withColumn("shard", place("vec_id", shards, 1)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = asked.withColumn("block", place("query_id", blocks, 2)).withColumn("home", F.pmod(F.col("block"), F.lit(shards)))
-
-    def meet(a: DataFrame, b: DataFrame) -> DataFrame:
-        def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            return _search_shard(left, right, k)
-
-        return a.groupBy("block", "shard").cogroup(b.groupBy("block", "shard")).applyInPandas(run, _HITS)
-
-    at_home = asked.select("query_id", "q", F.lit(None).cast("double").alias("bar"), "block", F.col("home").alias("shard"))
-    first = meet(at_home, base.where(F.col("shard") == F.pmod(F.col("block"), F.lit(shards))))
+    form = lambda df, i: df.where(usable(vector_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias(i), quantised(vector_col, scale).alias("v"))
+    base, asked = form(vectors, "id"), form(queries, "query_id").distinct().withColumn("query", F.xxhash64("v"))
+    shards = max(1, -(-base.select(F.count(F.lit(1))).first()[0] // SHARD_ROWS))
+    place = lambda c, salt: F.pmod(F.xxhash64(*c, F.lit(salt)), F.lit(shards)).cast("int")
+    none, wide = F.lit(None).cast("long"), ("shard", "query_id", "query", "id", "v", "bar")
+    base = base.select(place(("id", "v"), 1).alias("shard"), none.alias("query_id"), none.alias("query"), "id", "v", none.alias("bar"))
+    asked = asked.withColumn("home", place(("query_id",), 2))
+
+    def meet(these: DataFrame) -> DataFrame:
+        rows = base.unionByName(these.withColumn("id", none).select(*wide))
+        dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", F.col("query").isNotNull())
+        return dealt.mapInArrow(lambda b: _search(b, k), _HITS)
+
+    hits = meet(asked.select("query_id", "query", "v", none.alias("bar"), F.col("home").alias("shard")))
     if shards > 1:
-        from panelwright.llm.scratch import materialise
-
-        first = materialise(first, "home_hits")
-        bars = _best(first, k).select("query_id", F.when(F.size("top") == k, F.element_at("top", -1)["score"]).cast("double").alias("bar"))
-        rest = asked.join(bars, "query_id", "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("shard") != F.col("home"))
-        first = first.unionByName(meet(rest.select("query_id", "q", "bar", "block", "shard"), base.where(F.col("shard") != F.pmod(F.col("block"), F.lit(shards)))))
-    ranked = _best(first, k).select("query_id", F.posexplode("top").alias("at", "hit"))
-    return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), (-F.col("hit.neg")).alias("vec_id"), F.col("hit.score").alias("score"))
+        hits = materialise(hits, "home_hits")
+        bars = _ranked(hits, k).where(F.col("rank") == k).select("query_id", "query", F.col("score").alias("bar"))
+        others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: i != F.col("home"))).alias("shard")
+        rest = asked.join(bars, ["query_id", "query"], "left").select("query_id", "query", "v", "bar", others)
+        hits = hits.unionByName(meet(rest))
+    return _ranked(hits, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

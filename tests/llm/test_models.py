@@ -34,6 +34,39 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity(docs.limit(0), spark.createDataFrame(labels, "doc_id long, toxic int")).collect() == []
 
 
+def test_more_labels_than_training_takes(spark):
+    """Thresholds are those of the model that scores, also where the sample's shares aren't the labels' shares."""
+    from panelwright.llm import toxicity as t
+
+    r = random.Random(2)
+    word = lambda: "".join(r.choices("aeiourstlnmd", k=r.choice([2, 3, 5, 7])))
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = int(r.random() < 0.2)
+        rows.append((i, " ".join([word() for _ in range(20)] + ["scum moron"] * toxic), "en"))
+        labels.append((i, toxic))
+    docs, labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    out, truth = t.toxicity(docs, labelled, rows=100).collect(), dict(labels)
+    assert np.mean([x["flagged"] == truth[x["doc_id"]] for x in out]) > 0.97
+    assert len({x["threshold"] for x in out}) == 1 and 0.02 < out[0]["threshold"] < 0.98
+
+
+def test_scores_of_long_texts_do_not_depend_on_blocks(monkeypatch):
+    import pyarrow as pa
+
+    from panelwright.llm import textbytes
+    from panelwright.llm import toxicity as t
+
+    r = random.Random(4)
+    texts = [" ".join("".join(r.choices("abcdef", k=r.randint(1, 9))) for _ in range(n)) for n in (3000, 0, 1, 500, 7)] + [None, "!!"]
+    net = t.fresh(1)
+    whole = np.concatenate([net.scores(f, h) for f, h in t.word_features(pa.array(texts))])
+    monkeypatch.setattr(t, "BLOCK_WORDS", 64)
+    monkeypatch.setattr(textbytes, "PIECE_BYTES", 1000)
+    parts = np.concatenate([net.scores(f, h) for f, h in t.word_features(pa.array(texts))])
+    assert np.allclose(whole, parts, atol=1e-6)
+
+
 def test_threshold():
     assert best_threshold(np.array([0.9, 0.8, 0.2, 0.1]), np.array([1, 1, 0, 0])) == pytest.approx(0.5)
 
@@ -50,6 +83,29 @@ def test_urls(spark):
     assert judge(spark.createDataFrame([], "page_id long, url string"), RULES).collect() == []
 
 
+def test_rules_of_equal_length(spark):
+    """The first listed of two rules of the same length wins, whatever it says; repeated rows get repeated results."""
+    pages = spark.createDataFrame([(1, "http://a.b/cd"), (1, "http://a.b/cd"), (None, "http://a.b/c"), (2, None)], "page_id long, url string")
+    one, two = Rule("allow", "a.b", "/c"), Rule("block", "b", "/cd")
+    other = Rule("block", "a.b", "/")
+    for rules, want in (([one, two], "allow"), ([two, other, one], "allow"), ([Rule("block", "a.b", "/c"), one], "block"), ([one, Rule("block", "a.b", "/c")], "allow")):
+        assert [x["verdict"] for x in judge(pages, rules).where("page_id = 1").collect()] == [want] * 2
+
+
+def test_urls_on_held_out_rows(spark):
+    from pyspark.sql import functions as F
+
+    from panelwright.llm.urls import labelled_urls, train
+
+    table = labelled_urls(spark)
+    held = F.abs(F.xxhash64("url")) % 4 == 0
+    out = judge(table.where(held).withColumn("page_id", F.xxhash64("url")), [], model=train(table.where(~held)))
+    truth = {x["id"]: x["label"] for x in table.where(held).select(F.xxhash64("url").alias("id"), "label").collect()}
+    rows = [(x["verdict"] == "block", truth[x["page_id"]]) for x in out.collect()]
+    right = sum(b and y for b, y in rows)
+    assert len(rows) > 3000 and right / sum(b for b, _ in rows) > 0.98 and right / sum(y for _, y in rows) > 0.9
+
+
 @pytest.mark.parametrize("shard_rows", [64, 100_000])
 def test_top_k_matches_brute_force(spark, monkeypatch, shard_rows):
     monkeypatch.setattr("panelwright.llm.topk.SHARD_ROWS", shard_rows)
@@ -69,6 +125,28 @@ def test_top_k_matches_brute_force(spark, monkeypatch, shard_rows):
     assert top_k(df.limit(0), df.limit(0), 5).collect() == []
 
 
+@pytest.mark.parametrize("shard_rows", [16, 100_000])
+def test_top_k_with_large_components_and_repeated_ids(spark, monkeypatch, shard_rows):
+    """Sums of up to 2**62 are exact; rows of one id are candidates, and queries, of their own."""
+    monkeypatch.setattr("panelwright.llm.topk.SHARD_ROWS", shard_rows)
+    r = random.Random(3)
+    rows = [(i, [float(r.randint(-(2**30), 2**30)) for _ in range(4)]) for i in range(60)]
+    rows += [(60 + i, [1048576.00390625 if i == 1 else 1048576.0, 1048575.5, 0.25, -1048576.0]) for i in range(3)]
+    rows += [(0, [5.5, -7.25, 1.0, 2.0]), (7, rows[7][1]), (7, rows[7][1]), (50, rows[50][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for x in top_k(df, df.where("vec_id % 50 = 0"), 5, scale=1).collect():
+        found.setdefault(x["query_id"], []).append((x["rank"], x["vec_id"], x["score"]))
+    want = {}
+    for q, v in {(i, tuple(v)) for i, v in rows if i % 50 == 0}:
+        ranked = sorted((-sum(int(np.floor(a)) * int(np.floor(b)) for a, b in zip(v, w, strict=True)), i) for i, w in rows if i != q)[:5]
+        want.setdefault(q, []).extend((n, i, -s) for n, (s, i) in enumerate(ranked, 1))
+    assert {q: sorted(x) for q, x in found.items()} == {q: sorted(x) for q, x in want.items()}
+    huge = spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(huge, huge, 1).collect()
+
+
 def test_pipeline_runs_and_keeps_clean_documents(spark, tmp_path):
     import corpus_pipeline
 
