@@ -139,3 +139,23 @@ def unmapped(df: DataFrame, dimension: DataFrame, code: str, name: str) -> DataF
 def method_share(df: DataFrame, method: str = "method") -> DataFrame:
     """n and share of each method."""
     return df.groupBy(method).agg(F.count(F.lit(1)).alias("n")).withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))))
+
+
+def rate_against_count(wide: DataFrame, key: list[str], rate: str, part: str, whole: str, most: float = 30.0) -> DataFrame:
+    """A rate in percent further than ``most`` points from part / whole."""
+    gap = F.col(rate) - 100.0 * F.col(part) / F.nullif(F.col(whole), F.lit(0.0))
+    return violations(wide.withColumn("_gap", gap).where(F.abs("_gap") > most), "rate_against_count", key, F.col("_gap"), most, WARNING)
+
+
+def stored_against_computed(wide: DataFrame, stored: str, top: str, bottom: str, scale: float = 1.0, most: float = 1.0) -> DataFrame:
+    """The largest deviation, in percent, of a stored ratio from its sides; one row if it passes ``most``."""
+    computed = F.col(top) / F.nullif(F.col(bottom), F.lit(0.0)) * scale
+    worst = wide.agg(F.max(F.abs(100.0 * (F.col(stored) - computed) / F.nullif(computed, F.lit(0.0)))).alias("_worst"))
+    return violations(worst.where(F.col("_worst") > most), f"stored_{stored}", [], F.col("_worst"), most, WARNING)
+
+
+def share_drift(wide: DataFrame, key: list[str], part: str, whole: str, most: float = 15.0, period: str = "period") -> DataFrame:
+    """Series whose share, in percent, changes by more than ``most`` points from its first to its last period."""
+    share = 100.0 * F.col(part) / F.nullif(F.col(whole), F.lit(0.0))
+    ends = wide.withColumn("_s", share).groupBy(key).agg((F.max_by("_s", period) - F.min_by("_s", period)).alias("_drift"), F.count(F.lit(1)).alias("_n"))
+    return violations(ends.where((F.col("_n") >= 2) & (F.abs("_drift") > most)), "share_drift", key, F.col("_drift"), most, WARNING)

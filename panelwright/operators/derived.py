@@ -59,6 +59,33 @@ def asymmetric(df: DataFrame, limit: float = 0.1, value: str = "value", low: str
     return df.withColumn("asymmetry", F.abs(up - down) / F.nullif(F.greatest(up, down), F.lit(0.0))).where(F.col("asymmetry") > limit)
 
 
+def point_with_bounds(df: DataFrame, top: str, bottom: str, scale: float = 1.0, known: float = 0.02) -> DataFrame:
+    """value, lo, hi of top / bottom, from columns <metric>_value, _lo and _hi: the point is exact, only bounds are modelled.
+
+    A side without bounds is history: both sides so, and the ratio has none; one, and it counts with a deviation of the
+    ``known`` part of its value. Bounds follow from the sides' deviations by the delta method and don't go below 0.
+    """
+
+    def deviation(m: str) -> Column:
+        v, lo, hi = (F.col(f"{m}_{x}") for x in ("value", "lo", "hi"))
+        return F.greatest(F.when(lo.isNotNull() & hi.isNotNull(), (hi - lo) / (2 * 1.96)).otherwise(F.abs(v) * known), F.lit(1e-10))
+
+    a, b = F.col(f"{top}_value"), F.col(f"{bottom}_value")
+    past = lambda m: F.col(f"{m}_lo").isNull() | F.col(f"{m}_hi").isNull()
+    low, high = delta_bounds(a, deviation(top), b, deviation(bottom))
+    modelled = ~(past(top) & past(bottom)) & (b > 0)
+    bound = lambda c: F.when(modelled, F.greatest(c * scale, F.lit(0.0)))
+    return df.withColumn("value", F.when(b > 0, F.greatest(a / b * scale, F.lit(0.0))).otherwise(0.0)).withColumn("lo", bound(low)).withColumn("hi", bound(high))
+
+
+def identity_repaired(df: DataFrame, nominal: str, real: str, deflator: str, tolerance: float = 0.01) -> DataFrame:
+    """deviation of nominal from real * deflator / 100, violated where it passes the tolerance; there the deflator is set right."""
+    gap = F.when(F.col(nominal) > 0, F.abs(F.col(nominal) - F.col(real) * F.col(deflator) / 100.0) / F.col(nominal)).otherwise(0.0)
+    out = df.withColumn("deviation", gap).withColumn("violated", F.coalesce(F.col("deviation") > tolerance, F.lit(False)))
+    return out.withColumn(deflator, F.when(F.col("violated") & (F.col(real) != 0), F.col(nominal) / F.col(real) * 100.0).otherwise(F.col(deflator)))
+
+
+
 def simulated_ratio(df: DataFrame, keys: list[str], draws: int = 5000, rho: float = 0.0, trim: float | None = 5.0, seed: int = 42, scale: float = 1.0) -> DataFrame:
     """mc_value, mc_lo, mc_hi of a ratio whose sides are normal, correlated by ``rho``; columns a, sa, b, sb.
 

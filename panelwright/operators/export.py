@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def export_table(history: DataFrame, forecast: DataFrame, derived: DataFrame, entities: DataFrame, metrics: DataFrame) -> DataFrame:
     """History, forecasts after each series' last historical period, and derived rows; historical rows win.
 
-    Tables: entity, metric, period, value, lo, hi. entities: (entity, entity_name), metrics: (metric, unit), both small.
+    Tables: entity, metric, period, value, lo, hi. entities: (entity, entity_name), metrics: (metric, unit).
     Equal keys of one kind are told apart by value, so the result doesn't depend on order.
     """
     last = history.groupBy("entity", "metric").agg(F.max("period").alias("last_period"))
@@ -22,7 +22,7 @@ def export_table(history: DataFrame, forecast: DataFrame, derived: DataFrame, en
     rank = F.when(F.col("data_type") == "historical", 0).when(F.col("data_type") == "forecast", 1).otherwise(2)
     one = F.row_number().over(Window.partitionBy("entity", "metric", "period").orderBy(rank, "value"))
     kept = every.withColumn("_n", one).where("_n = 1").drop("_n")
-    return kept.join(F.broadcast(entities), "entity", "left").join(F.broadcast(metrics), "metric", "left")
+    return kept.join(entities, "entity", "left").join(metrics, "metric", "left")
 
 
 def vintages(history: DataFrame, forecasts: DataFrame, run: str = "forecast_run_date") -> DataFrame:

@@ -139,3 +139,29 @@ def last_complete_period(df: DataFrame, keys: list[str], run_year: int, run_mont
     """last_period of each key, not beyond the run's year, which itself counts only from ``lag_month`` on."""
     limit = run_year if run_month >= lag_month else run_year - 1
     return df.where(F.col(period) <= limit).groupBy(keys).agg(F.max(period).alias("last_period"))
+
+
+def log_trend(df: DataFrame, series: list[str], horizon: int, value: str = "value", period: str = "period") -> DataFrame:
+    """A trend in log space: the line's exponential with bounds of a new observation; a single value is carried on, without bounds.
+
+    method is lintrend_log or flat_log; only positive values count.
+    """
+    logs = df.where(F.col(value) > 0).select(*series, period, F.log(value).alias(value))
+    line = linear_trend(logs, series, horizon, value, period, "prediction")
+    exp = lambda c: F.exp(c).alias(c)
+    trend = line.select(*series, period, exp(value), exp("lo"), exp("hi"), F.lit("lintrend_log").alias("method"))
+    alone = logs.groupBy(series).agg(F.count(F.lit(1)).alias("_n"), F.max(period).alias("_p"), F.max(value).alias(value)).where("_n = 1")
+    none = F.lit(None).cast("double")
+    flat = alone.withColumn("_h", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).select(*series, (F.col("_p") + F.col("_h")).alias(period), exp(value), none.alias("lo"), none.alias("hi"), F.lit("flat_log").alias("method"))
+    return trend.unionByName(flat)
+
+
+def assumed_path(periods: DataFrame, steps: DataFrame, key: list[str], period: str = "period", value: str = "value", band: float = 0.25) -> DataFrame:
+    """An assumed path: the value of each key's last step at or before a period, with a fixed band; null before the first.
+
+    steps: key, period and value. The steps of a key are one map, as they are few.
+    """
+    curve = steps.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(period).alias("p"), F.col(value).alias("v")))).alias("_steps"))
+    at = F.element_at(F.filter("_steps", lambda s: s["p"] <= F.col(period)), -1)
+    out = periods.join(curve, key).withColumn(value, F.when(F.exists("_steps", lambda s: s["p"] <= F.col(period)), at["v"])).drop("_steps")
+    return out.withColumn("lo", F.col(value) - band).withColumn("hi", F.col(value) + band).withColumn("method", F.lit("assumed"))

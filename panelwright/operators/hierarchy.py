@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwright.operators.panel import interpolated
+
 
 def scaled_to_parent(children: DataFrame, parents: DataFrame, keys: list[str], columns: list[str], value: str = "value", target: str = "parent_value") -> DataFrame:
     """Forecast rows multiplied so that each group adds up to its parent; unchanged without parent or positive sum.
@@ -131,3 +133,37 @@ def cascade(levels: list[tuple[str, DataFrame]], keys: list[str], value: str = "
         out = part if out is None else out.join(part, keys)
     top = F.col(levels[0][0])
     return out.withColumn("spread", F.greatest(*[F.abs(F.col(n) - top) for n, _ in levels[1:]], F.lit(0.0)) / F.nullif(F.abs(top), F.lit(0.0)))
+
+
+def rate_gaps_filled(df: DataFrame, original: DataFrame, parents: DataFrame, series: list[str], code: str, value: str = "value", period: str = "period") -> DataFrame:
+    """Rates from a series' first to its last original period: its own, the line between its neighbours, else its parent's.
+
+    original: the periods (series, period) that the source really holds; what lies beyond the last of them was
+    extrapolated and goes, to be forecast later. parents: code, period and value. data_quality is observed, interpolated
+    or the code column's name.
+    """
+    ends = original.groupBy(series).agg(F.max(period).alias("_end"))
+    known = df.join(original.select(*series, period).distinct(), [*series, period], "left_semi")
+    kept = df.join(ends, series).where(F.col(period) <= F.col("_end"))
+    grid = kept.groupBy(*series, code).agg(F.explode(F.sequence(F.min(period), F.max("_end"))).alias(period))
+    line = interpolated(known.select(*series, period, value), series, value, period).withColumnRenamed(value, "_line")
+    out = grid.join(line, [*series, period], "left").join(parents.select(code, period, F.col(value).alias("_parent")), [code, period], "left")
+    quality = F.when(F.col("_line").isNotNull(), F.col("data_quality")).otherwise(F.lit(code))
+    return out.withColumn("data_quality", quality).withColumn(value, F.coalesce("_line", "_parent")).drop("_line", "_parent").where(F.col(value).isNotNull())
+
+
+def inner_gaps_filled(df: DataFrame, series: list[str], first: int, columns: tuple[str, ...] = ("value", "lo", "hi"), period: str = "period", slack: float = 0.05) -> DataFrame:
+    """Missing periods between existing ones, from ``first`` on, on the straight line: forecast rows of method gap_fill_interpolate.
+
+    columns: the value and its bounds. A series without any bound gets them ``slack`` of the value away. Rows that exist stay.
+    """
+    value, low, high = columns
+    inside = df.where(F.col(period) >= first)
+    parts = [interpolated(inside.select(*series, period, c).where(F.col(c).isNotNull()), series, c, period).select(*series, period, c) for c in columns]
+    out = parts[0].join(parts[1], [*series, period], "left").join(parts[2], [*series, period], "left")
+    any_of = lambda c: F.count(c).over(Window.partitionBy(*series)) > 0
+    back, ahead = (Window.partitionBy(*series).orderBy(period).rowsBetween(*w) for w in ((Window.unboundedPreceding, 0), (0, Window.unboundedFollowing)))
+    near = lambda c: F.coalesce(F.last(c, True).over(back), F.first(c, True).over(ahead))
+    bounds = {low: F.when(any_of(low), near(low)).otherwise(F.col(value) * (1 - slack)), high: F.when(any_of(high), near(high)).otherwise(F.col(value) * (1 + slack))}
+    filled = out.select(*series, period, value, *[v.alias(k) for k, v in bounds.items()]).join(df.select(*series, period), [*series, period], "left_anti")
+    return df.unionByName(filled.withColumn("data_type", F.lit("forecast")).withColumn("method", F.lit("gap_fill_interpolate")), allowMissingColumns=True)

@@ -10,7 +10,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 _SCHEMA = "entity string, metric string, period int, value double, lo double, hi double, model string, aicc double"
 
@@ -232,19 +233,15 @@ def vector_ensemble(df: DataFrame, metrics: list[str], horizon: int = 5, least:
 
 
 def residual_tests(df: DataFrame, lags: int = 3) -> DataFrame:
-    """entity, metric, ljung_box, jarque_bera of the residuals from each series' line."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.dropna(subset=["value"]).sort_values("period")["value"].to_numpy(float)
-        key = {"entity": [pdf["entity"].iloc[0]], "metric": [pdf["metric"].iloc[0]]}
-        if len(y) < lags + 3:
-            return pd.DataFrame(key | {"ljung_box": [np.nan], "jarque_bera": [np.nan]})
-        x = np.arange(len(y))
-        e = y - np.polyval(np.polyfit(x, y, 1), x)
-        n, s = len(e), e - e.mean()
-        var = max(float((s**2).mean()), 1e-300)
-        rho = np.array([(s[k:] * s[:-k]).sum() / (n * var) for k in range(1, lags + 1)])
-        skew, kurt = float((s**3).mean() / var**1.5), float((s**4).mean() / var**2)
-        return pd.DataFrame(key | {"ljung_box": [n * (n + 2) * float((rho**2 / (n - np.arange(1, lags + 1))).sum())], "jarque_bera": [n / 6 * (skew**2 + (kurt - 3) ** 2 / 4)]})
-
-    return df.select("entity", "metric", "period", "value").groupBy("entity", "metric").applyInPandas(run, "entity string, metric string, ljung_box double, jarque_bera double")
+    """entity, metric, ljung_box, jarque_bera of the residuals from each series' line; null under ``lags`` + 3 values."""
+    series = Window.partitionBy("entity", "metric")
+    rows = df.where(F.col("value").isNotNull()).select("entity", "metric", "period", "value", (F.row_number().over(series.orderBy("period")) - 1).cast("double").alias("x"))
+    rows = rows.withColumn("e", F.col("value") - F.regr_intercept("value", "x").over(series) - F.regr_slope("value", "x").over(series) * F.col("x"))
+    rows = rows.select("*", *[(F.col("e") * F.lag("e", k).over(series.orderBy("period"))).alias(f"p{k}") for k in range(1, lags + 1)])
+    moment = lambda k: F.avg(F.pow("e", F.lit(float(k)))).alias(f"m{k}")
+    sums = rows.groupBy("entity", "metric").agg(F.count(F.lit(1)).alias("n"), *map(moment, (2, 3, 4)), *[F.sum(f"p{k}").alias(f"p{k}") for k in range(1, lags + 1)])
+    n, var = F.col("n"), F.greatest("m2", F.lit(1e-300))
+    portmanteau = sum(F.pow(F.col(f"p{k}") / (n * var), F.lit(2.0)) / (n - k) for k in range(1, lags + 1))
+    skew, kurtosis = F.col("m3") / F.pow(var, F.lit(1.5)), F.col("m4") / (var * var)
+    enough = lambda c: F.when(n >= lags + 3, c)
+    return sums.select("entity", "metric", enough(n * (n + 2) * portmanteau).alias("ljung_box"), enough(n / 6 * (skew * skew + F.pow(kurtosis - 3, F.lit(2.0)) / 4)).alias("jarque_bera"))

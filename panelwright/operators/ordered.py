@@ -104,3 +104,30 @@ def growth_percentiles(df: DataFrame, series: list[str], value: str = "value", p
     growth = df.withColumn("_g", F.when(before > 0, F.col(value) / before - 1))
     enough = lambda p: F.when(F.count("_g") >= least, F.percentile("_g", F.lit(p)))
     return growth.groupBy(series).agg(enough(low).alias("low_growth"), enough(high).alias("high_growth"))
+
+
+def capped_with_bounds(df: DataFrame, series: list[str], start: str, low: str, high: str, volatility: str, value: str = "value", period: str = "period", lower: str = "lo", upper: str = "hi") -> DataFrame:
+    """``growth_capped`` with its bounds: a series of which any step was capped gets adjusted -/+ 1.96 * volatility * sqrt(h).
+
+    h counts a series' rows from 1; volatility, the standard deviation of past growth, is relative and constant within a
+    series. Lower bounds don't go below 0. Series without a capped step or a positive volatility keep their bounds.
+    """
+    folded = growth_capped(df, series, start, low, high, value, period).join(df.select(*series, period, volatility, lower, upper), [*series, period])
+    step = F.row_number().over(Window.partitionBy(*series).orderBy(period))
+    capped = F.max(F.abs(F.col("adjusted") - F.col(value)) > 1e-9 * F.abs(value)).over(Window.partitionBy(*series)) & (F.col(volatility) > 0)
+    width = 1.96 * F.col("adjusted") * F.col(volatility) * F.sqrt(step)
+    out = folded.withColumn("_width", F.when(capped, width))
+    out = out.withColumn(lower, F.when(F.col("_width").isNotNull(), F.greatest(F.col("adjusted") - F.col("_width"), F.lit(0.0))).otherwise(F.col(lower)))
+    return out.withColumn(upper, F.when(F.col("_width").isNotNull(), F.col("adjusted") + F.col("_width")).otherwise(F.col(upper))).drop("_width", volatility)
+
+
+def bounds_moved(df: DataFrame, adjusted: str = "adjusted", value: str = "value", lower: str = "lo", upper: str = "hi") -> DataFrame:
+    """Bounds scaled by adjusted / value; left where the value is next to 0."""
+    by = F.when(F.abs(value) > 1e-10, F.col(adjusted) / (F.col(value) + 1e-10)).otherwise(1.0)
+    return df.withColumn(lower, F.col(lower) * by).withColumn(upper, F.col(upper) * by)
+
+
+def growth_volatility(df: DataFrame, series: list[str], value: str = "value", period: str = "period") -> DataFrame:
+    """volatility: the sample deviation of each series' relative steps."""
+    before = F.lag(value).over(Window.partitionBy(*series).orderBy(period))
+    return df.withColumn("_g", F.when(before != 0, F.col(value) / before - 1)).groupBy(series).agg(F.stddev_samp("_g").alias("volatility"))

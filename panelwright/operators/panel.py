@@ -35,8 +35,8 @@ def plausible(df: DataFrame, rates: list[str], lowest: str = ">= 0", value: str
 
 
 def recode(df: DataFrame, concordance: DataFrame, code: str, sums: list[str], keys: list[str]) -> DataFrame:
-    """Old codes replaced by new ones (concordance: old, new; small) and values of equal keys summed."""
-    mapped = df.join(F.broadcast(concordance), F.col(code) == F.col("old"), "left").withColumn(code, F.coalesce("new", code))
+    """Old codes replaced by new ones (concordance: old, new) and values of equal keys summed."""
+    mapped = df.join(concordance, F.col(code) == F.col("old"), "left").withColumn(code, F.coalesce("new", code))
     return mapped.groupBy(keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
@@ -94,6 +94,12 @@ def by_metric(df: DataFrame, keys: list[str], metrics: list[str], columns: list[
     return df.groupBy(keys).agg(*[F.max(F.when(F.col(metric) == m, F.col(c))).alias(f"{m}_{c}") for m in metrics for c in columns])
 
 
+def by_metric_mean(df: DataFrame, keys: list[str], metrics: list[str], value: str = "value", metric: str = "metric") -> DataFrame:
+    """A column for each metric; rows of the same key and metric are averaged."""
+    return df.groupBy(keys).agg(*[F.avg(F.when(F.col(metric) == m, F.col(value))).alias(m) for m in metrics])
+
+
+
 def unpivoted(df: DataFrame, keys: list[str], periods: list[int], value: str = "value", period: str = "period") -> DataFrame:
     """The inverse of ``by_period``; missing values give no rows."""
     out = df.unpivot(keys, [f"y{p}" for p in periods], period, value)

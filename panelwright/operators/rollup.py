@@ -59,3 +59,9 @@ def weighted_mean(value: Column, weight: Column) -> Column:
 def only_children(df: DataFrame, parent: str, child: str) -> DataFrame:
     """Parents with a single child."""
     return df.groupBy(parent).agg(F.countDistinct(child).alias("children"), F.min(child).alias("child")).where("children = 1").select(parent, "child")
+
+
+def by_class(df: DataFrame, keys: list[str], is_rate: Column, first: list[str], value: str = "value") -> DataFrame:
+    """One aggregate for all metrics: means of rates and sums of the others; of label columns the smallest."""
+    mean, total = F.avg(value), F.sum(value)
+    return df.groupBy(keys).agg(F.when(F.bool_and(is_rate), mean).otherwise(total).alias(value), *[F.min(c).alias(c) for c in first])

@@ -30,6 +30,16 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("entity", "parent", "period", F.explode(metrics).alias("m")).select("entity", "parent", "m.metric", "period", "m.value")
 
 
+def customer_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entity (a customer's key), parent (its nation), metric (revenue, orders), period, value: thousands of series."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("period"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    sums = orders.groupBy("o_custkey", "period").agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    named = sums.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(geography(spark, sf_dir)).select("n_nationkey", F.col("entity").alias("parent")), F.col("c_nationkey") == F.col("n_nationkey"))
+    metrics = F.array(F.struct(F.lit("revenue").alias("metric"), (F.col("cents").cast("double") / 100).alias("value")), F.struct(F.lit("orders").alias("metric"), F.col("n").cast("double").alias("value")))
+    return named.select(F.col("c_custkey").cast("long").alias("entity"), "parent", "period", F.explode(metrics).alias("m")).select("entity", "parent", "m.metric", "period", "m.value")
+
+
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """entity, parent, period, value (mean discount in percent, weighted by quantity) and weight (the quantity)."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_quantity").cast("long").alias("q"), (F.round(F.col("l_discount") * 100).cast("long") * F.col("l_quantity").cast("long")).alias("d"))
@@ -60,6 +70,13 @@ panel AS (
   SELECT entity, parent, 'revenue' AS metric, period, revenue AS value FROM sums JOIN geo ON c_nationkey = n_nationkey
   UNION ALL SELECT entity, parent, 'orders', period, orders FROM sums JOIN geo ON c_nationkey = n_nationkey
 ),
+csums AS (
+  SELECT o_custkey, year(o_orderdate)::INTEGER AS period, sum(CAST(round(o_totalprice * 100) AS BIGINT))::DOUBLE / 100 AS revenue, count(*)::DOUBLE AS orders FROM orders GROUP BY 1, 2
+),
+cpanel AS (
+  SELECT c_custkey::BIGINT AS entity, entity AS parent, 'revenue' AS metric, period, revenue AS value FROM csums JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey
+  UNION ALL SELECT c_custkey::BIGINT, entity, 'orders', period, orders FROM csums JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey
+),
 split AS (
   SELECT *, CASE WHEN period >= 2000 THEN 'forecast' ELSE 'historical' END AS data_type,
          CASE WHEN period >= 2000 THEN value * 0.95::DOUBLE END AS lo, CASE WHEN period >= 2000 THEN value * 1.05::DOUBLE END AS hi FROM panel

@@ -107,8 +107,7 @@ def information_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(" SELECT entity, metric, count(*) AS n FROM panel WHERE NOT (contains(entity, '_1') AND period < 1998) GROUP BY 1, 2 HAVING count(*) >= CASE metric WHEN 'orders' THEN 4 ELSE 6 END")
 def eligible_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.panel(spark, sf_dir).where("NOT (contains(entity, '_1') AND period < 1998)")
-    out = rows.groupBy(_KEYS).agg(F.count("value").alias("n"))
-    return out.where(F.col("n") >= F.when(F.col("metric") == "orders", 4).otherwise(6))
+    return forecast.eligible(rows, _KEYS, F.when(F.col("metric") == "orders", 4).otherwise(6))
 
 
 @query(" SELECT entity, period, round(CASE WHEN metric = 'revenue' THEN exp(ln(value) + 0.02::DOUBLE / 2) ELSE value END, 3) AS value, metric, (period >= 1998)::INTEGER::DOUBLE AS step, greatest(period - 2000 + 1, 0)::DOUBLE AS ramp, round(value - 1.96::DOUBLE * 2 * sqrt((period - 1994)::DOUBLE), 3) AS lo FROM panel")
@@ -243,9 +242,15 @@ def vector_autoregression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.vector_ensemble(fx.panel(spark, sf_dir), ["revenue", "orders"], horizon=5)
 
 
-@query()
+@query(
+    """+ x AS (SELECT entity, metric, period, value, (row_number() OVER (PARTITION BY entity, metric ORDER BY period) - 1)::DOUBLE AS x FROM panel), f AS (SELECT entity, metric, regr_slope(value, x) AS b, regr_intercept(value, x) AS a FROM x GROUP BY 1, 2),
+    e AS (SELECT x.entity, x.metric, period, value - a - b * x AS e FROM x JOIN f USING (entity, metric)), l AS (SELECT *, e * lag(e, 1) OVER w AS p1, e * lag(e, 2) OVER w AS p2, e * lag(e, 3) OVER w AS p3 FROM e WINDOW w AS (PARTITION BY entity, metric ORDER BY period)),
+    m AS (SELECT entity, metric, count(*)::DOUBLE AS n, avg(e * e) AS m2, avg(e * e * e) AS m3, avg(e * e * e * e) AS m4, sum(p1) AS p1, sum(p2) AS p2, sum(p3) AS p3 FROM l GROUP BY 1, 2)
+    SELECT entity, metric, CASE WHEN n >= 6 THEN round(n * (n + 2) * (pow(p1 / (n * m2), 2) / (n - 1) + pow(p2 / (n * m2), 2) / (n - 2) + pow(p3 / (n * m2), 2) / (n - 3)), 6) END AS ljung_box,
+           CASE WHEN n >= 6 THEN round(n / 6 * (m3 * m3 / pow(m2, 3) + pow(m4 / (m2 * m2) - 3, 2) / 4), 6) END AS jarque_bera FROM m"""
+)
 def residual_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.residual_tests(fx.panel(spark, sf_dir))
+    return models.residual_tests(fx.panel(spark, sf_dir)).select(*_KEYS, r("ljung_box", 6), r("jarque_bera", 6))
 
 
 # checks

@@ -81,12 +81,12 @@ def tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """+ raw AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders WHERE o_orderkey % 7 = 0)
+    """+ raw AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders)
     SELECT d::VARCHAR AS d, strftime(d, '%Y-%m') AS m_period, 'M' AS m_freq, concat(year(d), '-Q', quarter(d)) AS q_period, 'Q' AS q_freq, year(d)::VARCHAR AS a_period, 'A' AS a_freq, strftime(d, '%Y-%m-%d') AS d_period, 'D' AS d_freq, 'n/a' AS u_period, 'U' AS u_freq,
            strftime(d, '%Y-%m') AS w_period, 'M3' AS w_freq FROM raw"""
 )
 def period_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = fx.table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0").select(F.to_date("o_orderdate").alias("d")).distinct()
+    d = fx.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
     month = lambda c: F.upper(F.date_format(c, "MMM"))
     labels = {
         "m": F.concat(month("d"), F.lit(" "), F.date_format("d", "yy")), "q": F.concat(F.lit("Q"), F.quarter("d"), F.lit(" "), F.year("d")), "a": F.year("d").cast("string"), "d_": F.date_format("d", "yyyy-MM-dd"), "u": F.lit("n/a"),

@@ -64,9 +64,12 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").saveAsTable(name)
 
 
-def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``old`` with the rows of ``new`` in place of those of the same keys; of equal keys in ``new`` one stays."""
-    newest = new.dropDuplicates(keys)
+def upserted(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """``old`` with the rows of ``new`` in place of those of the same keys.
+
+    Of equal keys in ``new`` the first in ``order`` stays, or without one the row whose other columns are largest.
+    """
+    newest = newest_first(new, keys, order or [F.col(c).desc() for c in new.columns if c not in keys] or [F.col(keys[0])])
     return old.join(newest.select(keys), keys, "left_anti").select(old.columns).unionByName(newest.select(old.columns))
 
 
