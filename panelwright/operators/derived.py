@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,6 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows whose draws are made at once.
+BLOCK_ROWS = 128
+
 
 def ratio_with_bounds(df: DataFrame, name: str, top: str, bottom: str, scale: float = 1.0, missing_top: float = 0.05, missing_bottom: float = 0.02) -> DataFrame:
     """value, lo, hi and data_type of top / bottom from columns <metric>_value, _lo, _hi, _data_type.
@@ -32,10 +36,11 @@ def horizon_bounds(value: Column, horizon: Column, spread: float, growth: float
 
 
 def delta_bounds(a: Column, sa: Column, b: Column, sb: Column, rho: float = 0.0) -> tuple[Column, Column]:
-    """Bounds of a / b by the delta method, for sides with these deviations and this correlation."""
-    r = a / b
-    relative = F.pow(sa / a, F.lit(2.0)) + F.pow(sb / b, F.lit(2.0)) - 2 * rho * sa * sb / (a * b)
-    width = 1.96 * F.abs(r) * F.sqrt(F.greatest(relative, F.lit(0.0)))
+    """Bounds of a / b by the delta method, for sides with these deviations and this correlation; null where b is 0."""
+    by = F.nullif(b, F.lit(0.0))
+    r = a / by
+    variance = F.pow(sa / by, F.lit(2.0)) + F.pow(r * sb / by, F.lit(2.0)) - 2 * rho * sa * sb * r / (by * by)
+    width = 1.96 * F.sqrt(F.greatest(variance, F.lit(0.0)))
     return r - width, r + width
 
 
@@ -75,7 +80,7 @@ def point_with_bounds(df: DataFrame, top: str, bottom: str, scale: float = 1.0,
     low, high = delta_bounds(a, deviation(top), b, deviation(bottom))
     modelled = ~(past(top) & past(bottom)) & (b > 0)
     bound = lambda c: F.when(modelled, F.greatest(c * scale, F.lit(0.0)))
-    return df.withColumn("value", F.when(b > 0, F.greatest(a / b * scale, F.lit(0.0))).otherwise(0.0)).withColumn("lo", bound(low)).withColumn("hi", bound(high))
+    return df.withColumn("value", F.when(b > 0, F.greatest(a / F.nullif(b, F.lit(0.0)) * scale, F.lit(0.0))).otherwise(0.0)).withColumn("lo", bound(low)).withColumn("hi", bound(high))
 
 
 def identity_repaired(df: DataFrame, nominal: str, real: str, deflator: str, tolerance: float = 0.01) -> DataFrame:
@@ -95,24 +100,33 @@ def simulated_ratio(df: DataFrame, keys: list[str], draws: int = 5000, rho: floa
     marked = df.withColumn("_seed", F.xxhash64(*keys, F.lit(seed)))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), "mc_value double", "mc_lo double", "mc_hi double"])
 
-    def one(a: float, sa: float, b: float, sb: float, key: int) -> tuple[float, float, float]:
-        if not b > 0 or pd.isna(a):
-            return np.nan, np.nan, np.nan
-        r = np.random.default_rng(key & (1 << 63) - 1)
-        x, y = r.standard_normal(draws), r.standard_normal(draws)
+    def block(a: np.ndarray, sa: np.ndarray, b: np.ndarray, sb: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """A row of the three results for each input row; the draws of all rows are one array."""
+        x, y = (np.empty((len(a), draws)) for _ in range(2))
+        for i, key in enumerate(keys):
+            r = np.random.default_rng(int(key) & (1 << 63) - 1)
+            x[i], y[i] = r.standard_normal(draws), r.standard_normal(draws)
+        a, sa, b, sb = (v[:, None] for v in (a, sa, b, sb))
         tops, bottoms = a + sa * x, b + sb * (rho * x + np.sqrt(1 - rho * rho) * y)
-        good = (tops > 0) & (bottoms > 0)
-        ratio = tops[good] / bottoms[good] * scale
-        if trim is not None and len(ratio):
-            ratio = ratio[np.abs(ratio - ratio.mean()) <= trim * max(ratio.std(), 1e-300)]
-        if len(ratio) < draws // 10:
-            return a / b * scale, np.nan, np.nan
-        return float(ratio.mean()), float(np.percentile(ratio, 2.5)), float(np.percentile(ratio, 97.5))
+        ratio = np.full(x.shape, np.nan)
+        np.divide(tops * scale, bottoms, out=ratio, where=(tops > 0) & (bottoms > 0))
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore", RuntimeWarning)  # rows without a draw
+            if trim is not None:
+                off = np.abs(ratio - np.nanmean(ratio, axis=1, keepdims=True))
+                ratio[off > trim * np.maximum(np.nanstd(ratio, axis=1, keepdims=True), 1e-300)] = np.nan
+            out = np.column_stack([np.nanmean(ratio, axis=1), *np.nanpercentile(ratio, [2.5, 97.5], axis=1)])
+            few = np.isfinite(ratio).sum(axis=1) < draws // 10
+            out[few] = np.column_stack([(a / b * scale)[few, 0], np.full((few.sum(), 2), np.nan)])
+        out[~(b[:, 0] > 0) | np.isnan(a[:, 0])] = np.nan
+        return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [one(*values) for values in zip(*(batch[c] for c in ("a", "sa", "b", "sb", "_seed")), strict=True)]
-            values = pd.DataFrame(out, columns=["mc_value", "mc_lo", "mc_hi"], index=batch.index, dtype="float64")
-            yield pd.concat([batch.drop(columns="_seed"), values], axis=1)
+            for first in range(0, len(batch), BLOCK_ROWS):
+                part = batch.iloc[first : first + BLOCK_ROWS]
+                sides = [part[c].to_numpy(float) for c in ("a", "sa", "b", "sb")]
+                values = pd.DataFrame(block(*sides, part["_seed"].to_numpy()), columns=["mc_value", "mc_lo", "mc_hi"], index=part.index)
+                yield pd.concat([part.drop(columns="_seed"), values], axis=1)
 
     return marked.mapInPandas(run, schema)
