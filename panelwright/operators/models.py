@@ -1,7 +1,7 @@
-"""Models fitted series by series in grouped pandas functions: smoothing, autoregression, vector autoregression.
+"""Models of single series and of an entity's series together: smoothing, autoregression, vectors with error correction.
 
-Spark deals the series out; a series is a year's worth of rows, so a group stays small whatever their number. Fits use
-least squares and grids in numpy. Draws are seeded by the series' key.
+Each fit is a small numpy helper over one series; Spark deals out series, models and folds, and does what combines them.
+Draws are seeded by the series' key.
 """
 
 from __future__ import annotations
@@ -105,57 +105,61 @@ def trend(y: np.ndarray, horizon: int) -> tuple[np.ndarray, float, float]:
 MODELS = {"arima": arima, "holt": holt, "linear": trend}
 
 
-def cross_validated(y: np.ndarray, model, folds: int = 4) -> tuple[float, np.ndarray]:
-    """Mean of |error| / (|forecast| + |actual|) of one-step forecasts, each fitted to what came before, and the errors."""
-    scores, errors = [], []
-    for cut in range(max(5, len(y) - folds), len(y)):
-        ahead = model(y[:cut], 1)[0][0]
-        scores.append(abs(y[cut] - ahead) / max(abs(ahead) + abs(y[cut]), 1e-12))
-        errors.append(y[cut] - ahead)
-    return float(np.mean(scores)) if scores else np.inf, np.array(errors)
-
-
-def _ensemble(pdf: pd.DataFrame, horizon: int, least: int) -> pd.DataFrame:
-    rows = pdf.dropna(subset=["value"]).sort_values("period")
-    y = rows["value"].to_numpy(float)
-    empty = _nothing()
-    if len(y) < least:
-        return empty
-    is_log = bool((y > 0).all())
-    z = np.log(y) if is_log else y
-    fits = {name: f(z, horizon) for name, f in MODELS.items()}
-    checked = {name: cross_validated(z, f) for name, f in MODELS.items()}
-    weights = np.array([1 / max(checked[n][0], 1e-6) for n in MODELS])
-    weights /= weights.sum()
-    centre = sum(w * fits[n][0] for w, n in zip(weights, MODELS, strict=True))
-    errors = np.concatenate([checked[n][1] for n in MODELS])
-    sigma = float(errors.std(ddof=1)) if len(errors) > 5 else float(sum(w * fits[n][1] for w, n in zip(weights, MODELS, strict=True)))
-    width = 1.96 * sigma * np.sqrt(np.arange(1, horizon + 1))
-    back = np.exp if is_log else (lambda x: x)
-    last = int(rows["period"].iloc[-1])
-    return pd.DataFrame(
-        {
-            "entity": rows["entity"].iloc[0], "metric": rows["metric"].iloc[0], "period": np.arange(last + 1, last + horizon + 1), "value": back(centre), "lo": back(centre - width), "hi": back(centre + width),
-            "model": f"ensemble({len(MODELS)})", "aicc": float(min(f[2] for f in fits.values())),
-        }
-    )
+#: One-step forecasts at a series' end that weights are found from, and the fewest values that one is fitted to.
+FOLDS, LEAST_FIT = 4, 5
+
+
+def _fitted(model: pd.Series, z: pd.Series, cut: pd.Series, horizon: pd.Series) -> pd.DataFrame:
+    """The forecast, deviation and AICc of each row's model, fitted to the first ``cut`` values."""
+    found = [MODELS[m](np.asarray(v[:c], float), h) for m, v, c, h in zip(model, z, cut, horizon, strict=True)]
+    return pd.DataFrame({"ahead": [f[0].tolist() for f in found], "sigma": [float(f[1]) for f in found], "aicc": [float(f[2]) for f in found]})
 
 
 def ensemble(df: DataFrame, horizon: int = 5, least: int = 6) -> DataFrame:
     """entity, metric, period, value, lo, hi, model, aicc: models weighted by their inverse cross-validated error.
 
-    Positive series are fitted in logarithms. Bounds come from the cross-validation errors, or from the fits' own
-    deviations where those are few. Series shorter than ``least`` give no rows.
+    Each series, model and fold is a row that is fitted by itself; Spark's grouping finds the errors, the weights and the
+    combined path. Positive series are fitted in logarithms. Bounds come from the cross-validation errors, or from the
+    fits' own deviations where those are few. Series shorter than ``least`` give no rows.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _ensemble(pdf, horizon, least)
-
-    return df.select("entity", "metric", "period", "value").groupBy("entity", "metric").applyInPandas(run, _SCHEMA)
-
-
-def johansen_rank(y: np.ndarray, lags: int = 1) -> int:
-    """Cointegrating relations by the trace test with a constant at 5% (published points for up to four series)."""
+    keys = ["entity", "metric"]
+    ordered = F.array_sort(F.collect_list(F.struct("period", "value")))
+    series = df.where(F.col("value").isNotNull()).groupBy(keys).agg(ordered.alias("s")).withColumn("n", F.size("s")).where(F.col("n") >= least)
+    series = series.withColumn("y", F.transform("s", lambda x: x["value"])).withColumn("is_log", F.forall("y", lambda v: v > 0))
+    series = series.select(*keys, "n", "is_log", F.element_at("s", -1)["period"].alias("last"), F.when(F.col("is_log"), F.transform("y", lambda v: F.log(v))).otherwise(F.col("y")).alias("z"))
+    models = F.explode(F.array(*map(F.lit, MODELS))).alias("model")
+    cuts = F.explode(F.sequence(F.greatest(F.lit(LEAST_FIT), F.col("n") - FOLDS), F.col("n"))).alias("cut")
+    tasks = series.select("*", models).select("*", cuts).withColumn("whole", F.col("cut") == F.col("n"))
+    fitted = F.pandas_udf(_fitted, "ahead array<double>, sigma double, aicc double")
+    # dealt out anew: a series' fits needn't follow one another in one task
+    tasks = tasks.repartition(*keys, "model", "cut").withColumn("fit", fitted("model", "z", "cut", F.when(F.col("whole"), horizon).otherwise(1)))
+    actual, ahead = F.get("z", F.col("cut")), F.get("fit.ahead", F.lit(0))
+    tasks = tasks.withColumn("error", F.when(~F.col("whole"), actual - ahead))
+    score = F.abs("error") / F.greatest(F.abs(ahead) + F.abs(actual), F.lit(1e-12))
+    final = F.max(F.when(F.col("whole"), F.col("fit"))).alias("fit")
+    by_model = tasks.groupBy(*keys, "is_log", "last", "model").agg(
+        F.avg(score).alias("score"), final, F.count("error").alias("errors"), F.sum("error").alias("e1"), F.sum(F.col("error") * F.col("error")).alias("e2")
+    )
+    raw = 1 / F.greatest(F.coalesce("score", F.lit(1.0)), F.lit(1e-6))
+    by_model = by_model.withColumn("raw", raw).withColumn("weight", F.col("raw") / F.sum("raw").over(Window.partitionBy(*keys)))
+    n, mean = F.sum("errors"), F.sum("e1") / F.sum("errors")
+    spread = F.sqrt(F.greatest(F.sum("e2") - n * mean * mean, F.lit(0.0)) / (n - 1))
+    whole = by_model.groupBy(*keys, "is_log", "last").agg(
+        F.when(n > 5, spread).otherwise(F.sum(F.col("weight") * F.col("fit.sigma"))).alias("sigma"), F.min("fit.aicc").alias("aicc"),
+        *[F.sum(F.col("weight") * F.get("fit.ahead", F.lit(h))).alias(f"h{h}") for h in range(horizon)],
+    )
+    paths = whole.select(*keys, "is_log", "last", "sigma", "aicc", F.posexplode(F.array(*[f"h{h}" for h in range(horizon)])).alias("h", "centre"))
+    width = 1.96 * F.col("sigma") * F.sqrt(F.col("h") + 1)
+    back = lambda c: F.when(F.col("is_log"), F.exp(c)).otherwise(c)
+    centre = F.col("centre")
+    return paths.select(
+        *keys, (F.col("last") + F.col("h") + 1).cast("int").alias("period"), back(centre).alias("value"), back(centre - width).alias("lo"), back(centre + width).alias("hi"), F.lit(f"ensemble({len(MODELS)})").alias("model"), "aicc"
+    )
+
+
+def cointegration(y: np.ndarray, lags: int = 1) -> tuple[int, np.ndarray]:
+    """How many cointegrating relations there are, by the trace test with a constant at 5% (published points for up to
+    four series), and the relations as columns, strongest first."""
     points = (3.8415, 15.4943, 29.7961, 47.8545)
     d = np.diff(y, axis=0)
     x = np.column_stack([np.ones(len(d) - lags), *[d[lags - i : len(d) - i] for i in range(1, lags + 1)]])
@@ -163,20 +167,53 @@ def johansen_rank(y: np.ndarray, lags: int = 1) -> int:
     r0, r1 = project(d[lags:]), project(y[lags:-1])
     n, k = len(r0), y.shape[1]
     s00, s11, s01 = r0.T @ r0 / n, r1.T @ r1 / n, r0.T @ r1 / n
-    roots = np.linalg.eigvals(np.linalg.pinv(s11) @ s01.T @ np.linalg.pinv(s00) @ s01).real
-    roots = np.sort(np.clip(roots, 0, 1 - 1e-12))[::-1]
+    roots, vectors = np.linalg.eig(np.linalg.pinv(s11) @ s01.T @ np.linalg.pinv(s00) @ s01)
+    order = np.argsort(-roots.real, kind="stable")
+    roots, vectors = np.clip(roots.real[order], 0, 1 - 1e-12), vectors.real[:, order]
     for rank in range(k):
         if -n * np.log(1 - roots[rank:]).sum() < points[min(k - rank, len(points)) - 1]:
-            return rank
-    return k
+            return rank, vectors
+    return k, vectors
+
+
+def johansen_rank(y: np.ndarray, lags: int = 1) -> int:
+    return cointegration(y, lags)[0]
+
+
+def error_correction(y: np.ndarray, horizon: int, rank: int, relations: np.ndarray, draws: int = 200, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Forecast and bounds of a vector error-correction model with one lagged difference.
+
+    The steps are regressed on a constant, the ``rank`` cointegrating relations of the last levels, and the last step;
+    bounds are percentiles of paths with resampled residuals.
+    """
+    beta, d = relations[:, :rank], np.diff(y, axis=0)
+    x = np.column_stack([np.ones(len(d) - 1), y[1:-1] @ beta, d[:-1]])
+    b, *_ = np.linalg.lstsq(x, d[1:], rcond=None)
+    e = d[1:] - x @ b
+
+    def path(shocks: np.ndarray) -> np.ndarray:
+        level, step, out = y[-1], d[-1], []
+        for shock in shocks:
+            step = np.concatenate([[1.0], level @ beta, step]) @ b + shock
+            level = level + step
+            out.append(level)
+        return np.array(out)
+
+    r = np.random.default_rng(seed)
+    paths = np.array([path(e[r.integers(0, len(e), horizon)]) for _ in range(draws)])
+    return path(np.zeros((horizon, y.shape[1]))), np.percentile(paths, 2.5, axis=0), np.percentile(paths, 97.5, axis=0)
 
 
 def vector_forecast(y: np.ndarray, horizon: int, most_lags: int = 3, draws: int = 200, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Forecast, bounds and lags of a vector autoregression chosen by AIC; bounds from resampled residuals.
 
-    They are percentiles of paths around the forecast itself. Without cointegration the series are differenced.
+    They are percentiles of paths around the forecast itself. Without cointegration the series are differenced; with
+    fewer relations than series, and rows enough, it is an error-correction model instead, whose lags are given as 0.
     """
-    differenced = johansen_rank(y) == 0
+    rank, relations = cointegration(y)
+    if 0 < rank < y.shape[1] and len(y) - 2 > 2 * (1 + rank + y.shape[1]):
+        return *error_correction(y, horizon, rank, relations, draws, seed), 0
+    differenced = rank == 0
     z = np.diff(y, axis=0) if differenced else y
     best = None
     for p in range(1, most_lags + 1):
@@ -227,7 +264,7 @@ def vector_ensemble(df: DataFrame, metrics: list[str], horizon: int = 5, least:
             return _nothing()
         low, high, rows = np.minimum(low, high), np.maximum(low, high), horizon * len(metrics)
         periods = np.tile(int(wide.index[-1]) + np.arange(1, horizon + 1), len(metrics))
-        return pd.DataFrame({"entity": [entity] * rows, "metric": [m for m in metrics for _ in range(horizon)], "period": periods, "value": centre.T.ravel(), "lo": low.T.ravel(), "hi": high.T.ravel(), "model": [f"var({p})"] * rows, "aicc": np.full(rows, np.nan)})
+        return pd.DataFrame({"entity": [entity] * rows, "metric": [m for m in metrics for _ in range(horizon)], "period": periods, "value": centre.T.ravel(), "lo": low.T.ravel(), "hi": high.T.ravel(), "model": [f"var({p})" if p else "vecm"] * rows, "aicc": np.full(rows, np.nan)})
 
     return df.select("entity", "metric", "period", "value").groupBy("entity").applyInPandas(run, _SCHEMA)
 

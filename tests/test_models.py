@@ -55,3 +55,41 @@ def test_cointegrated_series_have_rank_one():
     tied = np.column_stack([common + r.normal(0, 0.2, 400), 2 * common + r.normal(0, 0.2, 400)])
     apart = np.cumsum(r.normal(0, 1, (400, 2)), axis=0)
     assert models.johansen_rank(tied) == 1 and models.johansen_rank(apart) == 0
+
+
+def test_error_correction_pulls_series_together():
+    r = np.random.default_rng(3)
+    common = np.cumsum(r.normal(0, 1, 400))
+    y = np.column_stack([common + r.normal(0, 0.2, 400), 2 * common + r.normal(0, 0.2, 400)])
+    assert models.vector_forecast(y, 3)[3] == 0
+    rank, relations = models.cointegration(y)
+    y[-1, 1] += 6  # the last level is off its relation: the forecast goes back to it
+    centre, low, high = models.error_correction(y, 12, rank, relations)
+    gap = lambda v: abs(2 * v[0] - v[1])
+    assert rank == 1 and gap(centre[-1]) < 0.35 * gap(y[-1]) and (low <= high).all()
+
+
+def test_ensemble_by_hand(spark):
+    r = np.random.default_rng(9)
+    series = {"a": np.exp(0.1 * np.arange(12) + r.normal(0, 0.05, 12)), "b": r.normal(0, 1, 7), "c": np.arange(1.0, 6.0)}
+    rows = [(k, "m", 2000 + i, float(v)) for k, y in series.items() for i, v in enumerate(y)]
+    out = models.ensemble(spark.createDataFrame(rows, "entity string, metric string, period int, value double").repartition(3), 3).collect()
+    assert {x["entity"] for x in out} == {"a", "b"} and len(out) == 6
+    for key in ("a", "b"):
+        z = np.log(series[key]) if (series[key] > 0).all() else series[key]
+        errors, weights, fits = [], [], []
+        for f in models.MODELS.values():
+            cuts = range(max(5, len(z) - 4), len(z))
+            ahead = [f(z[:c], 1)[0][0] for c in cuts]
+            errors += [z[c] - v for c, v in zip(cuts, ahead, strict=True)]
+            weights.append(1 / max(np.mean([abs(z[c] - v) / max(abs(v) + abs(z[c]), 1e-12) for c, v in zip(cuts, ahead, strict=True)]), 1e-6))
+            fits.append(f(z, 3))
+        weights = np.array(weights) / sum(weights)
+        centre = sum(w * f[0] for w, f in zip(weights, fits, strict=True))
+        sigma = np.std(errors, ddof=1) if len(errors) > 5 else sum(w * f[1] for w, f in zip(weights, fits, strict=True))
+        back = np.exp if key == "a" else (lambda v: v)
+        for x in out:
+            if x["entity"] == key:
+                h = x["period"] - 2000 - len(z)
+                width = 1.96 * sigma * np.sqrt(h + 1)
+                assert np.allclose([x["value"], x["lo"], x["hi"]], [back(centre[h]), back(centre[h] - width), back(centre[h] + width)])
