@@ -19,9 +19,9 @@ from x in |D(x)| + |D(y)| - 2 |D(x) & D(y)| elements, the bounds for (x, y) and
 elements in common (p: the bound in percent), and all of D(y) but the (100 - p) |y| / p that sets which reach the bound
 can differ in. Elements are ordered by how many nodes of the hub hold them, the rarest
 first, and a set is entered under as many of them as those counts leave in doubt: then linked sets meet under one.
-These prefix groups, mostly empty, are compared directly if they hold few pairs; else they are treated as signatures
-are, their hub being one of their members, which is in none of the groups that follow, so that this ends. Whether a
-pair reaches the bound is always decided on the whole sets.
+These prefix groups, mostly empty, are compared directly if they hold no more pairs than a few times the elements that
+sets were entered under; else they are treated as signatures are, their hub being one of their members, which is in none
+of the groups that follow, so that this ends. Whether a pair reaches the bound is always decided on the whole sets.
 
 Defined results: A-Z are lower-cased; words are runs of characters other than ASCII white space. A text with fewer
 words than a shingle has the whole sequence as its only shingle. A null or empty text, or one of white space alone,
@@ -53,7 +53,7 @@ PARTITION_ROWS, SORT_ROWS = 1_000_000, 500_000
 SUBPARTS = 3
 #: Members of a hub that are compared with it in a row; a hub of more is dealt out in parts.
 HUB_MEMBERS = 64
-#: Pairs that prefix groups may hold, for each of their members, to be compared directly.
+#: Pairs that prefix groups may hold, for each entry of a node under an element, to be compared directly.
 DIRECT_PAIRS = 4
 #: Rows of nodes that may be broadcast; beyond it the same join shuffles.
 BROADCAST_NODES = 200_000
@@ -318,7 +318,7 @@ def _unresolved(members: DataFrame, label: DataFrame | None) -> DataFrame:
 
 
 def _prefixes(checked: DataFrame, bound: Bound) -> DataFrame:
-    """signature, node, component, size, far, near of (hub, node, linked, size, hub_size, diff, component).
+    """hub, signature, node, component, size, far, near of (hub, node, linked, size, hub_size, diff, component).
 
     A signature stands for a hub and an element. far: not linked to the hub; near: within the prefix for partners that
     are far, which all rows that aren't far are.
@@ -336,19 +336,38 @@ def _prefixes(checked: DataFrame, bound: Bound) -> DataFrame:
     # elements that one component holds come first: no pair in question shares them
     rows = rows.drop("component").join(often, ["hub", "element"]).withColumn("common", common).withColumn("rank", rank).join(narrow, ["hub", "node"])
     place = F.col("full") - F.col("common") + F.col("rank")
-    rows = rows.where(place <= F.col("reach")).select(F.xxhash64("hub", "element").alias("signature"), "node", "component", "size", "far", (place <= F.least("near_to", "reach")).alias("near"))
+    rows = rows.where(place <= F.col("reach")).select("hub", F.xxhash64("hub", "element").alias("signature"), "node", "component", "size", "far", (place <= F.least("near_to", "reach")).alias("near"))
     return rows
 
 
-def _met(rows: DataFrame) -> DataFrame:
-    """signature, who, pairs of the prefix groups that hold pairs of different components; pairs: how many."""
+def _held(rows: DataFrame, by: list[str], key: str) -> DataFrame:
+    """``by``, who, n, pairs of the groups of (hub, signature) or hubs that hold pairs of different components; pairs: how many."""
     count = lambda c: F.sum(c.cast("double"))
     linked, near, far = ~F.col("far"), F.col("far") & F.col("near"), F.col("far")
-    parts = rows.groupBy("signature", "component").agg(count(linked).alias("a"), count(near).alias("s"), count(far).alias("t"), F.bit_xor(F.xxhash64("node", "near")).alias("who"))
-    total = parts.groupBy("signature").agg(
-        (F.sum("a") * F.sum("t") - F.sum(F.col("a") * F.col("t")) + (F.sum("s") * F.sum("s") - F.sum(F.col("s") * F.col("s"))) / 2).alias("pairs"), F.bit_xor("who").alias("who"), (F.sum("a") + F.sum("t")).alias("n")
-    )
-    return total.where("pairs > 0").groupBy("who", "n", "pairs").agg(F.min("signature").alias("signature"))  # groups of the same members are one
+    parts = rows.groupBy(*by, "component").agg(count(linked).alias("a"), count(near).alias("s"), count(far).alias("t"), F.bit_xor(F.xxhash64("node", "near")).alias("who"))
+    pairs = F.sum("a") * F.sum("t") - F.sum(F.col("a") * F.col("t")) + (F.sum("s") * F.sum("s") - F.sum(F.col("s") * F.col("s"))) / 2
+    return parts.groupBy(*by).agg(pairs.alias(key), F.bit_xor("who").alias("who"), (F.sum("a") + F.sum("t")).alias("n")).where(f"{key} > 0")
+
+
+def _met(rows: DataFrame) -> tuple[DataFrame, float]:
+    """The rows of the prefix groups that hold pairs of different components, and how many pairs.
+
+    Where a hub's groups hold more pairs, counted in each, than its nodes in doubt make at all, these are one group.
+    """
+    groups = _held(rows, ["hub", "signature"], "pairs").groupBy("hub", "who", "n", "pairs").agg(F.min("signature").alias("signature"))  # groups of the same members are one
+    groups = materialise(groups.select("hub", "signature", "pairs"), "groups")
+    met = materialise(rows.join(_few(groups).select("hub", "signature"), ["hub", "signature"], "left_semi"), "met")
+    nodes = met.groupBy("hub", "node", "component", "size", "far").agg(F.lit(True).alias("near"))
+    whole = _held(nodes, ["hub"], "most").select("hub", "most")
+    total = groups.groupBy("hub").agg(F.sum("pairs").alias("pairs")).join(whole, "hub")
+    total = materialise(total.select("hub", F.least("pairs", "most").alias("pairs"), (F.col("most") < F.col("pairs")).alias("as_one")), "total")
+    split = lambda df, one: df.join(_few(total).where(F.col("as_one") == one).select("hub"), "hub", "left_semi")
+    columns = ["signature", "node", "component", "size", "far", "near"]
+    out = split(met, False).select(*columns).unionByName(split(nodes, True).withColumn("signature", F.xxhash64("hub")).select(*columns))
+    out = materialise(out, "rows")
+    pairs = total.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
+    discard(groups, met, total)
+    return out, pairs
 
 
 def _crossing(rows: DataFrame, bound: Bound) -> DataFrame:
@@ -379,12 +398,11 @@ def _links(members: DataFrame, texts: DataFrame, bound: Bound) -> tuple[DataFram
         doubtful = materialise(_unresolved(placed, label).select("hub", "node", "component").distinct(), "doubtful")
         prefixes = materialise(_prefixes(checked.join(_few(doubtful), ["hub", "node"]), bound), "prefixes")
         discard(rows, placed, checked, doubtful)
-        met = materialise(_met(prefixes), "met")
-        rows = materialise(prefixes.join(_few(met).select("signature"), "signature", "left_semi"), "rows")
-        pairs, members_left = met.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0], rows.count()
-        discard(prefixes, met)
-        if pairs <= DIRECT_PAIRS * members_left:
-            if members_left:
+        rows, pairs = _met(prefixes)
+        entered = prefixes.count()
+        discard(prefixes)
+        if pairs <= DIRECT_PAIRS * entered:
+            if pairs:
                 done = compared(_crossing(rows, bound), texts, bound, differences=False)
                 links.append(materialise(done.where("linked").select("hub", "node"), "links"))
                 label = joined(label, links[-1], "hub", "node")
