@@ -167,3 +167,22 @@ def inner_gaps_filled(df: DataFrame, series: list[str], first: int, columns: tup
     bounds = {low: F.when(any_of(low), near(low)).otherwise(F.col(value) * (1 - slack)), high: F.when(any_of(high), near(high)).otherwise(F.col(value) * (1 + slack))}
     filled = out.select(*series, period, value, *[v.alias(k) for k, v in bounds.items()]).join(df.select(*series, period), [*series, period], "left_anti")
     return df.unionByName(filled.withColumn("data_type", F.lit("forecast")).withColumn("method", F.lit("gap_fill_interpolate")), allowMissingColumns=True)
+
+
+def reconciled(children: DataFrame, parents: DataFrame, keys: list[str], columns: list[str], cap: str, value: str = "value", upper: str = "hi", target: str = "parent_value") -> DataFrame:
+    """The three steps in order: scaled to the parent, set to the caps, and what that took shared among the free rows."""
+    scaled = scaled_to_parent(children, parents, keys, columns, value, target).drop("scale")
+    return scaled_below_cap(sanity_capped(scaled, cap, value, upper), parents, keys, columns, cap, value, target)
+
+
+def rate_dispatch(last: DataFrame, children: DataFrame, parents: DataFrame, entity: str, parent: str, value: str = "value", weight: str = "weight", least: int = 8) -> DataFrame:
+    """A rate for each entity and the method it comes from, the first that applies.
+
+    copied from an only child, weighted mean of the children, the entity's own last value where it has ``least`` values,
+    else inherited from the parent. last: entity, parent, n and value; children: entity, value and weight, a row per child;
+    parents: parent and value.
+    """
+    some = children.where(F.col(value).isNotNull() & (F.col(weight) > 0)).groupBy(entity).agg(F.count(F.lit(1)).alias("_n"), (F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias(value))
+    up = last.select(entity, parent).join(parents.select(parent, value), parent).select(entity, value)
+    steps = [("copied", some.where("_n = 1").select(entity, value)), ("weighted", some.where("_n > 1").select(entity, value)), ("own", last.where(F.col("n") >= least).select(entity, value)), ("inherited", up)]
+    return by_priority(steps, [entity], value)

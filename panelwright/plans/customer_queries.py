@@ -200,3 +200,32 @@ def uneven_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = nations.withColumnRenamed("parent", "entity").join(fx.geography(spark, sf_dir), "entity")
     out = hierarchy.cascade([("customers", rows), ("nations", nations), ("regions", rollup.summed(regions, ["parent", "metric", "period"]))], ["metric", "period"])
     return out.select("metric", "period", r("customers"), r("nations"), r("regions"), r("spread", 8))
+
+
+@query(
+    """+ rows AS (SELECT *, value * 1.2::DOUBLE AS hi, CASE WHEN entity % 4 = 0 THEN value * 1.02::DOUBLE END AS cap FROM cpanel WHERE period >= 2000), pv AS (SELECT parent, metric, period, sum(value) * 1.1::DOUBLE AS pv FROM rows GROUP BY 1, 2, 3),
+    one AS (SELECT r.* EXCLUDE (value, hi), pv, value * (pv / sum(value) OVER w) AS value, hi * (pv / sum(value) OVER w) AS hi FROM rows r JOIN pv USING (parent, metric, period) WINDOW w AS (PARTITION BY parent, metric, period)),
+    two AS (SELECT * EXCLUDE (value, hi), CASE WHEN value > cap THEN cap ELSE value END AS value, CASE WHEN value > cap THEN least(hi, cap * 1.2::DOUBLE) ELSE hi END AS hi FROM one),
+    three AS (SELECT *, coalesce(value >= cap, false) AS fixed, coalesce(sum(value) FILTER (WHERE value >= cap) OVER w, 0) AS held, coalesce(sum(value) FILTER (WHERE NOT coalesce(value >= cap, false)) OVER w, 0) AS free FROM two WINDOW w AS (PARTITION BY parent, metric, period)),
+    done AS (SELECT *, CASE WHEN NOT fixed AND free > 0 AND pv - held > 0 THEN (pv - held) / free ELSE 1 END AS scale FROM three)
+    SELECT entity, metric, period, round(value * scale, 4) AS value, round(hi * scale, 4) AS hi FROM done"""
+)
+def reconciled_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.customer_panel(spark, sf_dir).where("period >= 2000").withColumn("hi", F.col("value") * 1.2).withColumn("cap", F.when(F.col("entity") % 4 == 0, F.col("value") * 1.02))
+    parents = rows.groupBy("parent", "metric", "period").agg((F.sum("value") * 1.1).alias("parent_value"))
+    out = hierarchy.reconciled(rows, parents, ["parent", "metric", "period"], ["value", "hi"], "cap")
+    return out.select(*_KEYS, "period", r("value"), r("hi"))
+
+
+@query(
+    """+ rows AS (SELECT entity, parent, period, value FROM cpanel WHERE metric = 'orders'), last AS (SELECT entity, parent, count(*) AS n, arg_max(value, period) AS value FROM rows GROUP BY 1, 2), pv AS (SELECT parent, avg(value) AS value FROM last GROUP BY 1),
+    kids AS (SELECT entity, value + k AS value, (entity + k) % 4 AS weight FROM last, range(0, 3) t(k) WHERE entity % 3 = 0 AND k <= entity % 2), grown AS (SELECT entity, count(*) AS n, sum(value * weight) / sum(weight) AS value FROM kids WHERE weight > 0 GROUP BY 1)
+    SELECT l.entity, round(CASE WHEN s.n IS NOT NULL THEN s.value WHEN l.n >= 6 THEN l.value ELSE pv.value END, 6) AS value, CASE WHEN s.n = 1 THEN 'copied' WHEN s.n > 1 THEN 'weighted' WHEN l.n >= 6 THEN 'own' ELSE 'inherited' END AS method
+    FROM last l LEFT JOIN grown s USING (entity) JOIN pv ON pv.parent = l.parent"""
+)
+def rate_dispatching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.customer_panel(spark, sf_dir).where("metric = 'orders'")
+    last = rows.groupBy("entity", "parent").agg(F.count(F.lit(1)).alias("n"), F.max_by("value", "period").alias("value"))
+    kids = last.where("entity % 3 = 0").select("entity", "value", F.explode(F.expr("sequence(0, cast(entity % 2 AS int))")).alias("k")).selectExpr("entity", "value + k AS value", "(entity + k) % 4 AS weight")
+    parents = last.groupBy("parent").agg(F.avg("value").alias("value"))
+    return hierarchy.rate_dispatch(last, kids, parents, "entity", "parent", least=6).select("entity", r("value", 6), "method")
