@@ -58,3 +58,7 @@ WITH v AS (
 )
 SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
 """
+
+SEGMENTATION_ROUND_TRIP = """
+SELECT item_id, rank::INTEGER AS rank, text FROM benchmark, range(1, 3) r(rank)
+"""

@@ -58,6 +58,14 @@ def op6_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("ids")
 
 
+def segmentation_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of ``benchmark`` as two sampled segmentations of each decode."""
+    from panelwright.llm.segmentation import decoded, sample
+
+    rows = sample(_read(spark, sf_dir, "benchmark", "item_id", "text"), k=2, id_col="item_id")
+    return rows.select(F.col("doc_id").alias("item_id"), "rank", decoded(F.col("ids")).alias("text"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts, the posterior probability of good quality and the verdict of every document."""
     from panelwright.llm.quality import quality
@@ -94,10 +102,10 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: f for name, f in globals().items() if name.startswith(("op", "segmentation_")) and name != "oracle_sql"}
 
 
 def oracle_sql() -> dict[str, str]:
     from panelwright.llm import oracles
 
-    return {name.lower(): text for name, text in vars(oracles).items() if name.startswith("OP")}
+    return {name.lower(): text for name, text in vars(oracles).items() if name.isupper()}
