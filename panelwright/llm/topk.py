@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from panelwright.llm.scratch import materialise
 
-#: Vectors in a shard, vectors in a leaf of a tree.
-SHARD_ROWS, LEAF_ROWS = 65_536, 128
+#: Vectors in a shard at most, on average, and vectors in a leaf of a tree. Every query meets every shard, so shards are
+#: as large as a task can hold; tables of fewer vectors are dealt out over the session's cores, down to ``LEAST_ROWS``.
+SHARD_ROWS, LEAF_ROWS, LEAST_ROWS = 131_072, 128, 8_192
 #: Components whose size is no less than this raise an error.
 LARGEST = 1 << 62
 
@@ -179,7 +180,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     """
     form = lambda df, i: df.where(usable(vector_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias(i), quantised(vector_col, scale).alias("v"))
     base, asked = form(vectors, "id"), form(queries, "query_id").distinct().withColumn("query", F.xxhash64("v"))
-    shards = max(1, -(-base.select(F.count(F.lit(1))).first()[0] // SHARD_ROWS))
+    rows, cores = base.select(F.count(F.lit(1))).first()[0], vectors.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, -(-rows // SHARD_ROWS), min(cores, rows // LEAST_ROWS))
     place = lambda c, salt: F.pmod(F.xxhash64(*c, F.lit(salt)), F.lit(shards)).cast("int")
     none, wide = F.lit(None).cast("long"), ("shard", "query_id", "query", "id", "v", "bar")
     base = base.select(place(("id", "v"), 1).alias("shard"), none.alias("query_id"), none.alias("query"), "id", "v", none.alias("bar"))
