@@ -59,6 +59,31 @@ WITH v AS (
 SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
 """
 
+OP12_LEXICAL_SEARCH = """
+WITH terms AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents
+), stats AS (
+  SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM terms WHERE len(t) > 0
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+  ) b GROUP BY item_id, term
+), postings AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM terms) p
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, n, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, stats GROUP BY term, n_docs
+), impacts AS (
+  SELECT doc_id, p.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))) AS impact
+  FROM postings p JOIN weights USING (term), stats
+), scored AS (
+  SELECT item_id, doc_id, sum(times * impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scored WHERE score > 0
+)
+SELECT item_id, r::INTEGER AS rank, doc_id, score FROM ranked WHERE r <= 20
+"""
+
 SEGMENTATION_ROUND_TRIP = """
 SELECT item_id, rank::INTEGER AS rank, text FROM benchmark, range(1, 3) r(rank)
 """
