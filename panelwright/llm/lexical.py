@@ -34,7 +34,7 @@ from panelwright.llm.textbytes import NOT_LETTERS, PIECE_BYTES, cuts, pieces, sp
 #: Pairs of item and term in a block of items.
 BLOCK_TERMS = 1 << 18
 #: A run of documents whose lists are built together ends at so many postings or documents.
-RUN_POSTINGS, RUN_DOCUMENTS = 1 << 22, 1 << 18
+RUN_POSTINGS, RUN_DOCUMENTS = 1 << 20, 1 << 17
 #: Entries that the first round reads of each list; each round reads twice as many as the one before.
 FIRST_ROUND = 64
 
@@ -138,8 +138,10 @@ class ImpactLists:
             spans = [slice(a + at, min(a + at + step, b)) for a, b in zip(first, last, strict=True) if a + at < b]
             if not spans:
                 break
-            docs = np.unique(np.concatenate([self.doc[s] for s in spans]))
-            docs = docs[~self.seen[docs]]
+            fresh = np.zeros(len(self.seen), bool)
+            for s in spans:
+                fresh[self.doc[s]] = True
+            docs = np.flatnonzero(fresh & ~self.seen)
             if len(docs):
                 self.seen[docs] = True
                 met.append(docs)
