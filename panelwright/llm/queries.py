@@ -108,6 +108,15 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(_read(spark, sf_dir, "documents", "doc_id", "text"), _read(spark, sf_dir, "benchmark", "item_id", "text"), k=20)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of the five positives of every hundredth vector."""
+    from panelwright.llm.hard_negatives import hard_negatives
+
+    vectors = _read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    vectors = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith(("op", "segmentation_")) and name != "oracle_sql"}
 
