@@ -101,6 +101,13 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from panelwright.llm.pages import main_text
+
+    return main_text(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of every item of ``benchmark``."""
     from panelwright.llm.lexical import lexical_search

@@ -41,7 +41,7 @@ def test_query_gives_what_its_sql_gives(spark, name):
 
 
 def test_every_query_has_sql_or_a_test_here():
-    own = {"op2_toxicity", "op3_packing", "op4_url_filters", "op5_token_counts", "op6_sampled_segmentation", "op7_quality_rules", "op8_pii"}
+    own = {"op2_toxicity", "op3_packing", "op4_url_filters", "op5_token_counts", "op6_sampled_segmentation", "op7_quality_rules", "op8_pii", "op11_main_text"}
     assert set(queries.queries()) == own | set(queries.oracle_sql()) and len(vars(oracles)) > 3
 
 
