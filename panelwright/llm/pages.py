@@ -59,9 +59,10 @@ _NOT_TEXT = frozenset(
 _OTHER = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion menu nav navbar navigation topbar breadcrumb "
     "breadcrumbs sidebar aside complementary cookie cookies consent gdpr notice notification popup modal overlay newsletter subscribe subscription "
-    "signup login comment comments disqus respond reply replies footer contentinfo masthead share sharing social related recommended recommendations "
+    "signup login footer contentinfo masthead share sharing social related recommended recommendations "
     "widget toolbar pagination pager search dialog alert skip".split()
 )
+_READERS = frozenset("comment comments disqus respond reply replies".split())
 _CONTENT = frozenset("article post entry story content main".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
@@ -75,7 +76,7 @@ def _tokens(html: str) -> Iterator[tuple[str, str, str]]:
     at, n, last = 0, len(html), html.rfind(">")
     while at < n:
         mark = html.find("<", at)
-        if mark < 0 or mark > last:  # no tag can end any more
+        if mark < 0 or mark > last and not html.startswith("<!--", mark):  # no tag can end any more
             yield "t", html[at:], ""
             return
         if mark > at:
@@ -113,8 +114,8 @@ class Page:
     def __init__(self, html: str, host: str):
         self.host = host.encode()
         self.tags, self.parents, self.hashes, self.named = [""], [-1], [0], [False]
-        self.other = [0]  # 2: not of the article; 1: neither, unless an article, main or h1 stands in it
-        self.holds, self.within = [False], [False]  # has an article, main or h1 below; stands in an article or main
+        self.other = [0]  # 3: not of the article; 2: neither, unless a main or h1 stands in it; 1: unless an article does
+        self.holds, self.within = [0], [False]  # 1: has an article in it, 2: a main or h1; stands in an article or main
         self.pieces: list[tuple[int, str | None]] = []  # (element, text); a None text is the border of a block
         parts: list[list[bytes]] = [[b""]]
         stack, opened = [0], {}
@@ -167,9 +168,14 @@ class Page:
         main = tag in ("article", "main") or "role" in (found if words else ()) and found["role"] == "main"
         unseen = bool(key) and ("hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower())
         tags.append("main" if main and tag != "article" else tag), self.parents.append(parent), self.hashes.append(0)
-        self.other.append(2 if tag in _NOT_TEXT and tag != "form" or tag == "header" and not self.within[parent] else 1 if not main and (tag == "form" or unseen or not _OTHER.isdisjoint(words)) else 0)
+        if tag in _NOT_TEXT and tag != "form" or tag == "header" and not self.within[parent]:
+            self.other.append(3)
+        elif not _READERS.isdisjoint(words):
+            self.other.append(2)
+        else:
+            self.other.append(int(not main and (tag == "form" or unseen or not _OTHER.isdisjoint(words))))
         self.named.append(not _CONTENT.isdisjoint(words))
-        self.holds.append(main or tag == "h1"), self.within.append(main or self.within[parent])
+        self.holds.append(2 if tag == "h1" or main and tag != "article" else int(main)), self.within.append(main or self.within[parent])
         stack.append(len(tags) - 1), self._parts.append([tag.encode("utf-8", "replace"), key])
         self._opened[tag] = self._opened.get(tag, 0) + 1
         self._kinds.append(tag)
@@ -184,8 +190,7 @@ class Page:
         if len(parts) > 2:  # has text or children with text
             self.hashes[node] = value
             self._parts[-1].append(value.to_bytes(8, "little"))
-        if self.holds[node]:
-            self.holds[self.parents[node]] = True
+        self.holds[self.parents[node]] = max(self.holds[self.parents[node]], self.holds[node])
         self._opened[tag] -= 1
         if tag in _BLOCK:
             self.pieces.append((self._stack[-1], None))
@@ -246,7 +251,7 @@ class Page:
         n = len(self.tags)
         keep = [True] * n
         for i in range(1, n):
-            drop = self.other[i] == 2 or self.other[i] == 1 and not self.holds[i]
+            drop = self.other[i] > self.holds[i]
             keep[i] = keep[self.parents[i]] and not drop and not (deleted and self.hashes[i] and self.tags[i] in _BLOCK and self.key(i) in deleted)
         every = "\n".join(self._blocks(keep))
         for least, chosen in ((0.0, [t == "article" for t in self.tags]), (0.0, [t == "main" for t in self.tags]), (0.5, self.named)):
