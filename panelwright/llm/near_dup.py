@@ -415,8 +415,10 @@ def _links(members: DataFrame, texts: DataFrame, bound: Bound) -> tuple[DataFram
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: Bound = Bound()) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links), n_links: a row for each row.
+    """doc_id, digest, n_shingles, component_id (the smallest doc_id reachable by links), n_links, first: a row for each row.
 
+    digest is the hash of the text, which tells rows of one id apart. first is true for one (doc_id, digest) of each class:
+    the smallest doc_id, null only if no row of the class has one, and of these the smallest digest.
     n_links counts the links of the document's set with other sets that the join needed to verify; copies aren't
     expanded into pairs, nor are pairs that are in one component already.
     """
@@ -428,7 +430,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = materialise(_texts(plain, sets, members), "texts")
     links, label = _links(members, texts, bound)
     discard(members, texts)
-    nodes = sets.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
+    nodes = sets.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(_place()).alias("least"))
     if links is None:
         return _classes(sets, nodes.withColumn("component", F.col("node")).withColumn("n_links", F.lit(0)))
     degree = links.distinct().select(F.explode(F.array("hub", "node")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
@@ -446,8 +448,15 @@ def _texts(plain: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     return found.dropDuplicates(["node"])
 
 
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+
+
 def _classes(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     """The documents of ``sets`` with the smallest document of their node's component."""
-    least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = nodes.join(least, "component").select("node", "component_id", "n_links")
-    return sets.join(classes, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    least = nodes.groupBy("component").agg(F.min("least").alias("of_class"))
+    classes = nodes.join(least, "component").select("node", "of_class", "n_links")
+    first = F.col("of_class").isNull() | (_place() == F.col("of_class"))
+    return sets.join(classes, "node", "left").select(
+        "doc_id", "digest", "n_shingles", F.coalesce("of_class.doc_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), first.alias("first")
+    )

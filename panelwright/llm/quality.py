@@ -9,7 +9,8 @@ The histogram has at most 3 ** (number of rules) rows whatever the corpus holds;
 
 Defined results: a null text counts as an empty one, and a text without words has every count 0, abstains on every
 rule, and fails the base check. Words are runs of characters other than ASCII white space; lines are split at line
-feeds. An empty table gives no rows. Equal rows give equal results. Other columns, whatever their names, aren't read.
+feeds. An empty table gives no rows. Equal texts give equal results; rows of one id are judged
+each by its own text, and digest, the hash of the text, tells them apart. Other columns, whatever their names, aren't read.
 """
 
 from __future__ import annotations
@@ -72,7 +73,7 @@ def repeated_words(words: Column, window: int = WINDOW_WORDS) -> Column:
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the counts (long) that the rules and the base check use; one scan, no shuffle."""
+    """doc_id, digest (of the text) and the counts (long) that the rules and the base check use; one scan, no shuffle."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     inked = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(_INK))
     words = _bind(words_of(text), lambda w: F.struct(F.size(w).alias("n_words"), repeated_words(w).alias("n_repeat_words"), F.size(F.filter(w, lambda x: F.length(x) <= 3)).alias("n_short_words")))
@@ -91,8 +92,8 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "n_others": F.regexp_count("text", F.lit(r"[^\p{L}\p{M}\x20\x09-\x0D]")),
         "n_digits": F.regexp_count("text", F.lit(r"[0-9]")),
     }
-    base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), words.alias("w"), lines.alias("l"))
-    return base.select("doc_id", *[v.cast("long").alias(k) for k, v in counts.items()])
+    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("digest"), text.alias("text"), words.alias("w"), lines.alias("l"))
+    return base.select("doc_id", "digest", *[v.cast("long").alias(k) for k, v in counts.items()])
 
 
 @dataclass(frozen=True)
@@ -177,7 +178,7 @@ def fit_votes(histogram: dict[tuple[int, ...], int], n_rules: int) -> VoteModel:
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None, keep_from: float = KEEP_FROM) -> DataFrame:
-    """doc_id, the counts of ``measures``, p_good (double), base_failed and kept (boolean), one row per document."""
+    """doc_id, digest, the counts of ``measures``, p_good (double), base_failed and kept (boolean), one row per document."""
     rules = default_rules() if rules is None else rules
     counts = materialise(measures(docs, id_col, text_col), "measures")
     names = [f"vote_{r.name}" for r in rules]

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,10 @@ def scratch_root(spark: SparkSession) -> str:
     return (found or LOCAL_CHECKPOINTS).rstrip("/")
 
 
+#: What ``materialise`` has written within each open ``cleared``, innermost last.
+_open: list[list[DataFrame]] = []
+
+
 def _folder(spark: SparkSession, path: str) -> tuple:
     """The Hadoop file system and path of a table's folder."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -42,9 +48,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     files.deleteOnExit(where)
     out = spark.read.schema(df.schema).parquet(f"{path}/{name}")
     out._scratch_path = path
+    for made in _open[-1:]:
+        made.append(out)
     return out
 
 
+@contextmanager
+def cleared() -> Iterator[list[DataFrame]]:
+    """At the end, delete the tables that were written within; those taken off the list that this gives stay."""
+    _open.append([])
+    try:
+        yield _open[-1]
+    finally:
+        discard(*_open.pop())
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of ``materialise`` that nothing reads any more."""
     for table in tables:
