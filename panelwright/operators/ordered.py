@@ -98,6 +98,81 @@ def growth_dampened(df: DataFrame, series: list[str], start: str, base_period: s
     return _folded(df, series, period, [value, low, high, parent_growth, base_period], F.col(start), step).drop(low, high, parent_growth, base_period)
 
 
+def _advanced(acc: Column, r: Column) -> Column:
+    """acc, a map of the value before a chunk, followed by one step of the fold.
+
+    A step is x -> a * clamp(v, l * x, h * x) + b * x for a positive x, else v. Such steps are increasing and piecewise
+    linear, and so is what follows from several of them: pieces says on which ranges it is slope * x + base. A step adds two
+    borders at most.
+    """
+
+    def parts(g: Column) -> Column:
+        at = lambda x: F.when(g["slope"] > 0, (x - g["base"]) / F.nullif(g["slope"], F.lit(0.0))).when(g["base"] < x, float("inf")).otherwise(float("-inf"))
+
+        def cut(t: Column) -> Column:
+            up, down = r["a"] * r["h"] + r["b"], r["a"] * r["l"] + r["b"]
+            return F.array(
+                F.struct(g["from"].alias("from"), F.least(g["upto"], t["one"]).alias("upto"), (up * g["slope"]).alias("slope"), (up * g["base"]).alias("base")),
+                F.struct(F.greatest(g["from"], t["one"]).alias("from"), F.least(g["upto"], t["two"]).alias("upto"), (r["b"] * g["slope"]).alias("slope"), (r["a"] * r["v"] + r["b"] * g["base"]).alias("base")),
+                F.struct(F.greatest(g["from"], t["two"]).alias("from"), g["upto"].alias("upto"), (down * g["slope"]).alias("slope"), (down * g["base"]).alias("base")),
+            )
+
+        return F.filter(_bound(F.struct(at(r["v"] / r["h"]).alias("one"), at(r["v"] / r["l"]).alias("two")), cut), lambda p: p["from"] < p["upto"])
+
+    return F.struct(_stepped(acc["other"], r).alias("other"), F.flatten(F.transform(acc["pieces"], parts)).alias("pieces"))
+
+
+def _bound(value: Column, body) -> Column:
+    return F.transform(F.array(value), body)[0]
+
+
+def _stepped(x: Column, r: Column) -> Column:
+    return F.when(x <= 0, r["v"]).otherwise(r["a"] * F.greatest(F.least(r["v"], r["h"] * x), r["l"] * x) + r["b"] * x)
+
+
+def _through(x: Column, chunk: Column) -> Column:
+    """The value at a chunk's end, from that before it."""
+    piece = F.filter(chunk["pieces"], lambda p: x < p["upto"])
+    return F.when(x <= 0, chunk["other"]).otherwise(_bound(piece, lambda p: p[0]["slope"] * x + p[0]["base"]))
+
+
+def _scanned(df: DataFrame, series: list[str], period: str, start: Column, chunk: Column, v: Column, low: Column, high: Column, a: Column, b: Column) -> DataFrame:
+    """``df`` with ``adjusted``, each series folded in chunks that are worked on apart.
+
+    First every chunk gives the map from the value before it to the value at its end, then a series' few maps give the value
+    before each chunk, then the chunks are folded. Rows without a value are left out. Growth bounds are above -1.
+    """
+    step = F.struct(F.col(period).alias("at"), v.cast("double").alias("v"), (1 + low).cast("double").alias("l"), (1 + high).cast("double").alias("h"), a.cast("double").alias("a"), b.cast("double").alias("b"), F.struct(*df.columns).alias("row"))
+    whole = F.array(F.struct(F.lit(0.0).alias("from"), F.lit(float("inf")).alias("upto"), F.lit(1.0).alias("slope"), F.lit(0.0).alias("base")))
+    chunks = df.where(v.isNotNull()).groupBy(*series, chunk.alias("_chunk")).agg(F.array_sort(F.collect_list(step), lambda x, y: F.when(x["at"] < y["at"], -1).when(x["at"] > y["at"], 1).otherwise(0)).alias("_rows"), F.min(start).cast("double").alias("_start"))
+    maps = chunks.select(*series, "_start", F.col("_chunk"), F.aggregate("_rows", F.struct(F.lit(-1.0).alias("other"), whole.alias("pieces")), _advanced).alias("_map"))
+    ordered = F.array_sort(F.collect_list(F.struct("_chunk", "_map")))
+    along = maps.groupBy(*series).agg(ordered.alias("_maps"), F.min("_start").alias("_start"))
+    none = F.array().cast("array<double>")
+    before = F.aggregate("_maps", F.struct(F.col("_start").alias("x"), none.alias("seen")), lambda acc, m: F.struct(_through(acc["x"], m["_map"]).alias("x"), F.concat(acc["seen"], F.array(acc["x"])).alias("seen")), lambda acc: acc["seen"])
+    begins = along.select(*series, F.explode(F.arrays_zip(F.transform("_maps", lambda m: m["_chunk"]).alias("_chunk"), before.alias("_begin"))).alias("_z")).select(*series, "_z._chunk", "_z._begin")
+    out = F.aggregate("_rows", F.struct(F.col("_begin").alias("last"), none.alias("out")), lambda acc, r: _append(acc, _stepped(acc["last"], r)), lambda acc: acc["out"])
+    folded = chunks.join(begins, [*series, "_chunk"]).select(F.explode(F.arrays_zip(F.col("_rows"), out.alias("_out"))).alias("_r"))
+    return folded.select("_r._rows.row.*", F.col("_r._out").alias("adjusted"))
+
+
+def growth_capped_in_chunks(df: DataFrame, series: list[str], start: str, low: str, high: str, chunk: Column, value: str = "value", period: str = "period") -> DataFrame:
+    """``growth_capped`` for long series: no array holds more rows than a chunk, and a series' chunks are worked on in parallel.
+
+    ``chunk`` grows with the period, for example the year and quarter of a day. Rows without a value are left out.
+    """
+    out = _scanned(df, series, period, F.col(start), chunk, F.col(value), F.col(low), F.col(high), F.lit(1.0), F.lit(0.0))
+    return out.drop(start, low, high)
+
+
+def growth_dampened_in_chunks(df: DataFrame, series: list[str], start: str, base_period: str, low: str, high: str, parent_growth: str, chunk: Column, value: str = "value", period: str = "period", begin: int = 5, full: int = 15, weight: float = 0.7) -> DataFrame:
+    """``growth_dampened`` for long series, as ``growth_capped_in_chunks``."""
+    out = (F.col(period) - F.col(base_period)).cast("double")
+    blend = F.when(F.col(parent_growth).isNotNull() & (out > begin), F.least(F.lit(1.0), (out - begin) / float(full - begin)) * weight).otherwise(0.0)
+    drawn = _scanned(df, series, period, F.col(start), chunk, F.col(value), F.col(low), F.col(high), 1 - blend, blend * (1 + F.coalesce(parent_growth, F.lit(0.0))))
+    return drawn.drop(start, low, high, parent_growth, base_period)
+
+
 def growth_percentiles(df: DataFrame, series: list[str], value: str = "value", period: str = "period", low: float = 0.02, high: float = 0.98, least: int = 6) -> DataFrame:
     """low_growth and high_growth: percentiles of each series' past growth, null with fewer than ``least`` steps."""
     before = F.lag(value).over(Window.partitionBy(*series).orderBy(period))

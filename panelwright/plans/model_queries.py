@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelwright.operators import audit, checks, derived, forecast, hierarchy, models, ordered, panel, rollup
+from panelwright.operators import audit
+from panelwright.operators import check_suite as cs
+from panelwright.operators import checks, derived, forecast, hierarchy, models, ordered, panel, rollup
 from panelwright.plans import fixtures as fx
 from panelwright.plans.panel_queries import _ahead, _parents, r
 from panelwright.plans.registry import query
@@ -269,15 +271,21 @@ def residual_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT 'horizon', 'issue', max(period)::DOUBLE FROM panel GROUP BY entity, metric HAVING max(period) < 2050) t GROUP BY 1, 2"""
 )
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.panel(spark, sf_dir)
-    split = fx.split(rows)
+    """All checks of the panel, its parents' table and the expected metrics in one pass, and those of the rates in another."""
+    rows = fx.split(fx.panel(spark, sf_dir))
     expected = spark.createDataFrame([("revenue",), ("orders",), ("profit",)], "metric string")
-    found = checks.all_of(
-        checks.coverage(rows, expected), checks.nulls(rows, _KEYS), checks.duplicates(rows, [*_KEYS, "period"]), checks.negatives(rows, _KEYS),
-        checks.reconciles(hierarchy.deviation(rows, _parents(rows), ["parent", "metric", "period"]), ["parent", "metric", "period"], 0.01),
-        checks.bounds(fx.rates(spark, sf_dir), ["entity", "period"], 4.9, 5.1, severity=checks.WARNING), checks.yearly_change(rows, _KEYS, -20, 20), checks.continuity(split, _KEYS, -0.1, 0.2),
-        checks.vintage_gap(split, _KEYS), checks.interval_order(split, _KEYS), checks.horizon(rows, _KEYS, 2050), checks.interval_width(split.where("data_type = 'forecast'"), ["metric"]),
-    )
+    parents = _parents(fx.panel(spark, sf_dir)).withColumnRenamed("parent_value", "total")
+    every, series, present = cs.tagged(rows=rows, parents=parents, expected=expected), _KEYS, F.col("table") == "rows"
+    s = cs.coverage(cs.Suite().step("last", ["table", *series], "period", F.col("value")), ["metric"], F.col("table") == "expected", present)
+    s = s.group("nulls", series, {"n": cs.rows_of(present & F.col("value").isNull())}, lambda a: a["n"] > 0, lambda a: a["n"], 0)
+    s = cs.negatives(cs.duplicates(s, [*series, "period"], present), series)
+    s = cs.reconciles(s, ["parent", "metric", "period"], F.col("value"), F.col("total"), 0.01)
+    s = cs.change(s, "yearly_change", [*series, "period"], F.col("value"), F.col("last"), -20, 20, scale=100.0, severity=checks.WARNING)
+    s = cs.interval_order(cs.seam(s, series, -0.1, 0.2), series)
+    s = cs.horizon(s, series, 2050, F.when(present, F.col("period")))
+    s = cs.interval_width(s, ["metric"], 50.0, checks.WARNING)
+    rates = cs.bounds(cs.Suite(), ["entity", "period"], F.col("value"), 4.9, 5.1, checks.WARNING)
+    found = s.run(every).unionByName(rates.run(fx.rates(spark, sf_dir)))
     return found.groupBy("check", "severity").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("measured"), 4).alias("worst"))
 
 
@@ -291,15 +299,27 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT 'year_gaps' FROM panel WHERE period % 3 <> 0 GROUP BY entity, metric UNION ALL SELECT 'unmapped' FROM geo WHERE parent = 'ASIA') t GROUP BY 1"""
 )
 def structure_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.panel(spark, sf_dir)
-    g = fx.geography(spark, sf_dir)
-    wide = panel.by_metric(rows, ["entity", "period"], ["revenue", "orders"], ["value"]).withColumn("stored", F.col("revenue_value") / F.col("orders_value") * F.when(F.col("period") == 1999, 1.5).otherwise(1.0))
-    found = checks.all_of(
-        checks.constant_shares(rollup.shares(rows, ["parent", "metric", "period"]), _KEYS), checks.growth_plausible(ordered.cagr(rows, _KEYS, 1995, 2000), _KEYS, -1, 1),
-        checks.comovement(wide, ["entity"], "revenue_value", "orders_value", 0.9), checks.ratio_identity(wide, ["entity", "period"], "stored", "revenue_value", "orders_value", 0.01),
-        checks.region_count(rows.where("parent <> 'ASIA'"), 25), checks.year_gaps(ordered.with_gaps(rows.where("period % 3 <> 0"), _KEYS), _KEYS),
-        checks.unmapped(g.select("entity", "parent"), g.where("parent <> 'ASIA'").select("entity", "parent"), "entity", "parent"), checks.part_of_whole(wide, ["entity", "period"], "orders_value", "revenue_value", 0.0, 0.5),
-    )
+    rows = rollup.shares(fx.panel(spark, sf_dir), ["parent", "metric", "period"])
+    rows = rows.withColumn("orders", F.max(F.when(F.col("metric") == "orders", F.col("value"))).over(Window.partitionBy("entity", "period")))
+    revenue = F.when(F.col("metric") == "revenue", F.col("value"))
+    rows = rows.withColumn("revenue", revenue).withColumn("stored", revenue / F.col("orders") * F.when(F.col("period") == 1999, 1.5).otherwise(1.0))
+    at = lambda year: F.when(F.col("period") == year, F.col("value"))
+    cagr = lambda a: 100 * (F.pow(a["b"] / F.nullif(a["a"], F.lit(0.0)), F.lit(0.2)) - 1)
+    error = F.abs(F.col("stored") - F.col("revenue") / F.nullif(F.col("orders"), F.lit(0.0))) / F.nullif(F.abs("stored"), F.lit(0.0))
+    cell, share = ["entity", "period"], F.col("orders") / F.nullif(F.col("revenue"), F.lit(0.0))
+    s = cs.Suite().group("constant_shares", _KEYS, {"s": (F.stddev_samp, F.col("share"))}, lambda a: a["s"] > 1e-10, lambda a: a["s"], 1e-10)
+    s = s.group("growth_plausible", _KEYS, {"a": (F.max, at(1995)), "b": (F.max, at(2000))}, lambda a: (cagr(a) < -1) | (cagr(a) > 1), cagr, 1, checks.WARNING)
+    s = cs.comovement(s, ["entity"], F.col("revenue"), F.when(revenue.isNotNull(), F.col("orders")), 0.9, checks.WARNING)
+    s = s.row("ratio_identity", cell, error > 0.01, error, 0.01)
+    s = s.row("part_over_whole", cell, F.col("orders") > F.col("revenue"), share, 1.0).row("part_of_whole", cell, (share < 0) | (share > 0.5), share, 0.5, checks.WARNING)
+    s = s.group("region_count", ["metric"], {"n": (F.count_distinct, F.when(F.col("parent") != "ASIA", F.col("entity")))}, lambda a: a["n"] != 25, lambda a: a["n"], 25)
+    s = cs.gaps(s, _KEYS, F.when(F.col("period") % 3 != 0, F.col("period")))
+    names = fx.geography(spark, sf_dir).select("entity", F.col("parent").alias("name"))
+    every = cs.tagged(used=names, known=names.where("name <> 'ASIA'").withColumnRenamed("name", "known"))
+    there = {"n": cs.rows_of(F.col("table") == "used"), "k": (F.max, F.col("known")), "name": (F.max, F.col("name"))}
+    m = cs.Suite().group("unmapped", ["entity"], there, lambda a: (a["n"] > 0) & a["k"].isNull(), lambda a: F.lit(0), None)
+    m = m.group("name_differs", ["entity"], there, lambda a: a["name"] != a["k"], lambda a: F.lit(1), None, checks.WARNING)
+    found = s.run(rows).unionByName(m.run(every))
     return found.groupBy("check").agg(F.count(F.lit(1)).alias("n"))
 
 
