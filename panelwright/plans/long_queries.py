@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.operators import levels, ordered, regression
+from panelwright.operators import levels, ordered, regression, selection, versions
 from panelwright.plans import fixtures as fx
 from panelwright.plans.panel_queries import r
 from panelwright.plans.registry import query
+from panelwright.session import kept
 
 _HOURLY = "hourly AS (SELECT event_type AS entity, (epoch(date_trunc('hour', ts)) // 3600)::BIGINT AS period, sum(CAST(round(value * 100) AS BIGINT))::DOUBLE / 100 AS value FROM events GROUP BY 1, 2)"
 
@@ -181,3 +182,60 @@ def validation_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of three models from every expanding window of every nation's months."""
     errors = regression.expanding_errors(_monthly(spark, sf_dir), ["entity"], 12, period="t")
     return regression.inverse_error_weights(errors, ["entity"], ["linear", "flat", "growth"]).select("entity", "folds", r("linear", 6), r("flat", 6), r("growth", 6))
+
+
+# exact selection
+
+
+@query(
+    """ SELECT l_returnflag, p, round(value, 6) AS value FROM (SELECT l_returnflag, unnest([0.02, 0.5, 0.9, 1.0])::DOUBLE AS p, unnest(quantile_cont(l_extendedprice, [0.02, 0.5, 0.9, 1.0])) AS value FROM lineitem GROUP BY 1) t"""
+)
+def price_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of line prices; ranges of more than 4096 rows are narrowed first."""
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    return selection.exact_quantiles(lines, ["l_returnflag"], "l_extendedprice", [0.02, 0.5, 0.9, 1.0], direct_rows=4096).select("l_returnflag", "p", r("value", 6))
+
+
+# versions
+
+_EDITED = "edited AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 997 = 5 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 1499 <> 3 UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 2999 = 8)"
+
+
+def _edited(orders: DataFrame) -> DataFrame:
+    """A later version: some orders changed, some gone, some new."""
+    columns = orders.columns
+    kept = orders.where("o_orderkey % 1499 <> 3").withColumn("o_orderstatus", F.expr("CASE WHEN o_orderkey % 997 = 5 THEN 'X' ELSE o_orderstatus END"))
+    return kept.unionByName(orders.where("o_orderkey % 2999 = 8").withColumn("o_orderkey", -F.col("o_orderkey"))).select(*columns)
+
+
+@query(
+    f"""+ {_EDITED} SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'added' WHEN b.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS status, (a.o_orderkey IS NOT NULL)::BIGINT AS rows_before, (b.o_orderkey IS NOT NULL)::BIGINT AS rows_after
+    FROM orders a FULL JOIN edited b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_orderstatus <> b.o_orderstatus"""
+)
+def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which orders differ between two versions; ranges of keys with equal fingerprints aren't compared row by row."""
+    before = fx.table(spark, sf_dir, "orders")
+    after = _edited(before)
+    trees = [kept(versions.fingerprint_tree(t, "o_orderkey", leaf_keys=256, fanout=16)) for t in (before, after)]
+    leaves = kept(versions.unequal_leaves(*trees, fanout=16))
+    return versions.changed_keys(before, after, leaves, "o_orderkey", leaf_keys=256)
+
+
+@query(
+    """+ late AS (SELECT c_nationkey, year(o_orderdate)::INTEGER AS period, CAST(round(o_totalprice * 100) AS BIGINT) * CASE WHEN o_orderkey % 701 = 9 THEN 2 ELSE 1 END AS cents, (o_custkey % 5)::BIGINT AS weight
+      FROM orders JOIN customer ON o_custkey = c_custkey WHERE NOT (year(o_orderdate) = 1997 AND month(o_orderdate) = 3 AND o_orderkey % 3 = 0))
+    SELECT c_nationkey, period, count(*) AS rows, sum(cents)::BIGINT AS cents, round(sum(cents * weight)::DOUBLE / nullif(sum(weight), 0), 6) AS rate FROM late GROUP BY 1, 2"""
+)
+def incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and a weighted rate by nation and year, brought up to date from the months whose fingerprints changed."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.trunc("o_orderdate", "month").alias("month"), F.year("o_orderdate").alias("period"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    late = orders.where("NOT (month = DATE'1997-03-01' AND o_orderkey % 3 = 0)").withColumn("cents", F.expr("cents * CASE WHEN o_orderkey % 701 = 9 THEN 2 ELSE 1 END"))
+    customer = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    keys, weight = ["c_nationkey", "period"], F.col("o_custkey") % 5
+    sums = {"cents": F.col("cents"), "weighted": F.col("cents") * weight, "weight": weight.cast("long")}
+    before = versions.state(orders.join(customer, "o_custkey"), keys, sums)  # of the run before
+    parts = versions.changed_parts(versions.part_hashes(orders, "month"), versions.part_hashes(late, "month"), "month")
+    moved = versions.signed(*[t.join(F.broadcast(parts), "month", "left_semi") for t in (orders, late)])
+    deltas = versions.state(moved.join(customer, "o_custkey"), keys, sums, F.col("sign"))
+    now = versions.applied(before, deltas, keys)
+    return now.select(*keys, "rows", "cents", F.round(F.col("weighted").cast("double") / F.nullif("weight", F.lit(0)), 6).alias("rate"))

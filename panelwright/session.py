@@ -1,8 +1,10 @@
-"""The session that the panel plans are tuned for."""
+"""The session that the panel plans are tuned for, and tables that are worked out once."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "panelwright", **conf: str) -> SparkSession:
@@ -18,3 +20,16 @@ def session(app: str = "panelwright", **conf: str) -> SparkSession:
     for key, value in (defaults | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` worked out once and checkpointed, so that what follows neither repeats it nor depends on its executors.
+
+    The folder is the one that spark.checkpoint.dir names; only a session within one process may leave it unset.
+    """
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
+    return df.checkpoint()
