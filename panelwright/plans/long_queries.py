@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.operators import levels, ordered, regression, selection, versions
+from panelwright.operators import calendar, levels, ordered, regression, selection, versions
 from panelwright.plans import fixtures as fx
 from panelwright.plans.panel_queries import r
 from panelwright.plans.registry import query
 from panelwright.session import kept
+from panelwright.sources import features, tables
 
 _HOURLY = "hourly AS (SELECT event_type AS entity, (epoch(date_trunc('hour', ts)) // 3600)::BIGINT AS period, sum(CAST(round(value * 100) AS BIGINT))::DOUBLE / 100 AS value FROM events GROUP BY 1, 2)"
 
@@ -239,3 +240,52 @@ def incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deltas = versions.state(moved.join(customer, "o_custkey"), keys, sums, F.col("sign"))
     now = versions.applied(before, deltas, keys)
     return now.select(*keys, "rows", "cents", F.round(F.col("weighted").cast("double") / F.nullif("weight", F.lit(0)), 6).alias("rate"))
+
+
+# calendars and features
+
+#: What the offsets of a period's later half of months add up to.
+_HALF = {n: sum(d for d in ((j - (n - 1) / 2) / n for j in range(n)) if d > 0) for n in (3, 12)}
+_PRIORITY = "po AS (SELECT o_orderpriority AS entity, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS month, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)"
+
+
+@query(
+    f"""+ {_PRIORITY}, d AS (SELECT event_type AS entity, year(ts) * 12 + month(ts) - 1 AS month, arg_max(v, (day, v)) AS value FROM (SELECT event_type, ts, date_trunc('day', ts)::DATE AS day, value AS v FROM events) e GROUP BY 1, 2),
+    m AS (SELECT entity, month, count(*)::DOUBLE AS value FROM po GROUP BY 1, 2),
+    m3 AS (SELECT entity, month + 2 - month % 3 AS month, sum(cents)::DOUBLE / 100 AS value FROM po WHERE month % 36 >= 6 GROUP BY 1, 2), m3s AS (SELECT entity, unnest(range(min(month), max(month) + 1)) AS month FROM m3 GROUP BY 1),
+    m3f AS (SELECT s.entity, s.month, max(m.month) AS seen, arg_max(m.value, m.month) AS value FROM m3s s LEFT JOIN m3 m ON m.entity = s.entity AND m.month <= s.month GROUP BY 1, 2),
+    q AS (SELECT entity, month // 3 AS period, sum(cents)::DOUBLE / 100 AS value FROM po GROUP BY 1, 2), a AS (SELECT entity, month // 12 AS period, sum(cents)::DOUBLE / 100 AS value FROM po GROUP BY 1, 2),
+    parts AS (SELECT 'Q' AS freq, 3 AS n, * FROM q UNION ALL SELECT 'A', 12, * FROM a),
+    near AS (SELECT *, value / n AS mean, CASE WHEN lead(period) OVER w = period + 1 THEN lead(value) OVER w / n - value / n ELSE 0 END AS up, CASE WHEN lag(period) OVER w = period - 1 THEN value / n - lag(value) OVER w / n ELSE 0 END AS down FROM parts WINDOW w AS (PARTITION BY freq, entity ORDER BY period)),
+    months AS (SELECT *, unnest(range(0, n)) AS j FROM near), lines AS (SELECT *, (j - (n - 1) / 2.0::DOUBLE) / n AS d, CASE n WHEN 12 THEN {-_HALF[12]!r}::DOUBLE ELSE {-_HALF[3]!r}::DOUBLE END * (up - down) / n AS shift FROM months),
+    flows AS (SELECT freq, entity, period * n + j AS month, mean + CASE WHEN d > 0 THEN up ELSE down END * d + shift AS value FROM lines)
+    SELECT entity, 'D' AS freq, month::BIGINT AS month, round(value, 3) AS value, 'observed' AS data_quality FROM d UNION ALL SELECT entity, 'M', month::BIGINT, value, 'observed' FROM m
+    UNION ALL SELECT entity, 'M3', month::BIGINT, CASE WHEN month - seen <= 4 THEN round(value, 3) END, CASE WHEN seen = month THEN 'observed' WHEN month - seen <= 4 THEN 'carried' END FROM m3f UNION ALL SELECT entity, freq, month::BIGINT, round(value, 3), 'spread' FROM flows"""
+)
+def mixed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily, monthly, three-month, quarterly and yearly series on one calendar of months."""
+    events = fx.table(spark, sf_dir, "events").select(F.col("event_type").alias("entity"), F.to_date("ts").alias("day"), "value")
+    orders = fx.table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("entity"), calendar.month_of(F.col("o_orderdate")).alias("month"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    orders = orders.groupBy("entity", "month").agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).cast("double").alias("n"))
+    total = (F.sum("cents").cast("double") / 100).alias("value")
+    windows = orders.where("month % 36 >= 6").groupBy("entity", F.expr("month + 2 - month % 3").alias("month")).agg(total)
+    spread = {f: calendar.spread_over_months(orders.groupBy("entity", F.floor(F.col("month") / n).alias("period")).agg(total), ["entity"], f).withColumn("data_quality", F.lit("spread")) for f, n in calendar.MONTHS.items()}
+    parts = {"D": calendar.last_in_month(events, ["entity"], "day"), "M": orders.withColumnRenamed("n", "value"), "M3": calendar.carried(windows, ["entity"], 4), **spread}
+    return calendar.on_months(parts, ["entity"]).select("entity", "freq", F.col("month").cast("long").alias("month"), F.round("value", 3).alias("value"), "data_quality")
+
+
+@query(
+    """ SELECT n.n_nationkey::VARCHAR AS code, k AS key, CASE k WHEN 'name' THEN n_name WHEN 'code' THEN n.n_nationkey::VARCHAR WHEN 'customers' THEN (CASE WHEN n.n_nationkey % 5 = 0 THEN NULL ELSE c.n END)::VARCHAR ELSE 'kept' END AS value, '[' || (n.n_nationkey * 2) || ',' || n.n_regionkey || ']' AS coordinates
+    FROM nation n LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) c ON c_nationkey = n.n_nationkey, (SELECT unnest(['name', 'code', 'customers', 'note']) AS k) WHERE k <> 'customers' OR (c.n IS NOT NULL AND n.n_nationkey % 5 <> 0)"""
+)
+def feature_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as a feature collection, their customers' counts written into it, and what reading that again gives."""
+    nation = fx.table(spark, sf_dir, "nation")
+    own = F.create_map(F.lit("name"), F.col("n_name").cast("variant"), F.lit("code"), F.col("n_nationkey").cast("variant"), F.lit("note"), F.lit("kept").cast("variant"))
+    point = F.concat(F.lit('{"type":"Point","coordinates":['), F.col("n_nationkey") * 2, F.lit(","), F.col("n_regionkey"), F.lit("]}"))
+    texts = features.as_json(nation.select(F.col("n_nationkey").cast("string").alias("id"), own.alias("properties"), F.parse_json(point).alias("geometry")))
+    counts = fx.table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).cast("double").alias("n")).where("c_nationkey % 5 <> 0")
+    attributes = tables.attribute_map(counts.withColumn("key", F.lit("customers")), "c_nationkey", "key", "n")
+    written = features.as_json(features.with_attributes(features.parsed(texts, "value"), attributes, "code", "c_nationkey"))
+    again = features.parsed(written, "value").select(features.property_text("code").alias("code"), F.explode("properties"), F.to_json("geometry").alias("g"))
+    return again.select("code", "key", F.col("value").cast("string").alias("value"), F.get_json_object("g", "$.coordinates").alias("coordinates"))
