@@ -82,13 +82,13 @@ def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""+ {_LEAVES}, {_OWN}, n AS (SELECT n.*, n.value * r.value / sum(n.value) OVER (PARTITION BY region, metric, period) AS v FROM nations n JOIN regions r USING (region, metric, period)),
     l AS (SELECT l.*, l.value * n.v / sum(l.value) OVER (PARTITION BY l.region, l.nation, l.metric, l.period) AS v FROM leaves l JOIN n USING (region, nation, metric, period))
-    SELECT region AS path, metric, period, round(value, 6) AS value, 1.0::DOUBLE AS scale FROM regions UNION ALL SELECT region || '/' || nation, metric, period, round(v, 6), round(v / value, 9) FROM n
-    UNION ALL SELECT region || '/' || nation || '/' || customer, metric, period, round(v, 6), round(v / value, 9) FROM l"""
+    SELECT region AS path, metric, period, round(value, 5) AS value, 1.0::DOUBLE AS scale FROM regions UNION ALL SELECT region || '/' || nation, metric, period, round(v, 5), round(v / value, 9) FROM n
+    UNION ALL SELECT region || '/' || nation || '/' || customer, metric, period, round(v, 5), round(v / value, 9) FROM l"""
 )
 def reconciled_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions, nations and customers made to add up in one pass."""
     out = levels.reconciled_levels(_nodes(spark, sf_dir), ["metric", "period"], ["value"])
-    return out.select(F.array_join("path", "/").alias("path"), "metric", "period", r("value", 6), r("scale", 9))
+    return out.select(F.array_join("path", "/").alias("path"), "metric", "period", r("value", 5), r("scale", 9))
 
 
 @query(
@@ -106,7 +106,7 @@ def level_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets AS (SELECT nation, metric, period, sum(value) * CASE WHEN metric = 'orders' THEN exp(0.27::DOUBLE) ELSE exp(0.11::DOUBLE) END AS t FROM rows GROUP BY 1, 2, 3),
     sorted AS (SELECT r.*, t, coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled, sum(value) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS unfilled
       FROM rows r JOIN targets USING (nation, metric, period) WINDOW w AS (PARTITION BY nation, metric, period ORDER BY cap / value NULLS LAST, customer)),
-    f AS (SELECT nation, metric, period, arg_min((t - filled) / unfilled, coalesce(cap / value, 1e300::DOUBLE)) AS f FROM sorted WHERE cap IS NULL OR filled + unfilled * cap / value >= t GROUP BY 1, 2, 3)
+    f AS (SELECT nation, metric, period, arg_min((t - filled) / unfilled, (coalesce(cap / value, 1e300::DOUBLE), customer)) AS f FROM sorted WHERE cap IS NULL OR filled + unfilled * cap / value >= t GROUP BY 1, 2, 3)
     SELECT r.nation, r.customer, r.metric, r.period, round(least(coalesce(f * value, cap), cap), 4) AS value, round(hi * least(coalesce(f * value, cap), cap) / value, 4) AS hi FROM rows r LEFT JOIN f USING (nation, metric, period)"""
 )
 def water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,4 +32,7 @@ def kept(df: DataFrame) -> DataFrame:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
-    return df.checkpoint()
+    held = df.persist()  # else checkpointing works it out twice
+    out = held.checkpoint()
+    held.unpersist()
+    return out
