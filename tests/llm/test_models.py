@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -143,8 +144,44 @@ def test_top_k_with_large_components_and_repeated_ids(spark, monkeypatch, shard_
         want.setdefault(q, []).extend((n, i, -s) for n, (s, i) in enumerate(ranked, 1))
     assert {q: sorted(x) for q, x in found.items()} == {q: sorted(x) for q, x in want.items()}
     huge = spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>")
-    with pytest.raises(Exception, match="64 bits"):
-        top_k(huge, huge, 1).collect()
+    assert {(x["query_id"], x["vec_id"], x["score"]) for x in top_k(huge, huge, 1).collect()} == {(0, 1, 2**63 - 1), (1, 0, 2**63 - 1)}
+
+
+@pytest.mark.parametrize("shard_rows", [8, 100_000])
+def test_top_k_with_components_beyond_64_bits(spark, monkeypatch, shard_rows):
+    """Every finite vector takes part, whatever rows share its shard; scores beyond 64 bits are the largest or smallest number."""
+    monkeypatch.setattr("panelwright.llm.topk.SHARD_ROWS", shard_rows)
+    monkeypatch.setattr("panelwright.llm.topk.LEAST_ROWS", 16)
+    r = random.Random(5)
+    rows = [(i, [r.gauss(0, 1) for _ in range(64)]) for i in range(150)]
+    rows += [(200, [1e30] + [0.0] * 63), (201, [-1e30] * 64), (202, [0.0] * 63 + [2.0**30]), (203, [2.0**30] + [0.0] * 63), (204, [2.0**22] * 64), (205, [2.0**30, -(2.0**30)] + [1.0] * 62)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {(x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in top_k(df, df.where("vec_id % 10 = 0 or vec_id >= 200"), 4).collect()}
+    whole, want = {i: [math.floor(256 * x) for x in v] for i, v in rows}, set()
+    for q in [i for i in whole if i % 10 == 0 or i >= 200]:
+        ranked = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(whole[q], v, strict=True)))), i) for i, v in whole.items() if i != q)[:4]
+        want |= {(q, n, i, -s) for n, (s, i) in enumerate(ranked, 1)}
+    assert found == want
+
+
+def test_queries_go_to_cells_that_reach_their_bar():
+    from panelwright.llm import topk
+
+    r = np.random.default_rng(8)
+    vectors = np.floor(256 * np.concatenate([r.normal(c, 0.05, (400, 8)) for c in r.normal(0, 1, (16, 8))])).astype(np.int64)
+    cells = topk.Cells(vectors[::4], 16)
+    own = cells.place(list(vectors))
+    assert cells.n == 16 and np.bincount(own, minlength=16).max() < 1000
+    t = topk.Table.__new__(topk.Table)
+    t.cells, t.boxed, t.width, t.parts, t.first = cells, np.arange(16), 8, dict.fromkeys(range(16), 1), {c: c for c in range(16)}
+    t.low, t.high = (np.array([f(vectors[own == c], axis=0) for c in range(16)], float) for f in (np.min, np.max))
+    sent = []
+    for q in vectors[::100]:
+        scores = vectors @ q
+        bar = int(np.sort(scores)[-5])
+        assert {int(c) for c in own[scores >= bar]} <= set(t.open(q, bar))
+        sent.append(len(t.open(q, bar)))
+    assert np.mean(sent) < 8 and t.open(None, 5) == list(range(16)) == t.open(vectors[0], None)
 
 
 def test_pipeline_runs_and_keeps_clean_documents(spark, tmp_path):
