@@ -10,8 +10,11 @@ a queue with an explicit target runs dry, a new phase shares its part among the
 Documents are cut freely at window, sequence and phase boundaries; each token lies in exactly one piece, sequences are
 gapless, and only the last one is shorter than ``length``.
 
-Where there are more sources than ``MAX_SOURCES``, those without a target are pooled by hash into that many queues:
-a window then holds each pool's share, and a pool gives its sources' tokens one source after another.
+Where there are more sources than ``MAX_SOURCES``, so that the driver shouldn't hold their totals, those without a target
+are one queue whose tokens are interleaved by the same due times, in Spark: a slot holds the tokens due in about a sequence's
+worth of the queue, which one it is follows from a source's total alone, and running sums over the slots, and within a slot
+by source, give a token's place. So every window holds each source's share to within that of a sequence or two, however many
+sources there are, and the driver holds none of their totals.
 
 Defined results: a null text counts as an empty one, which is the end token alone; null sources are one queue. Equal
 rows are packed each for itself. An empty table gives no pieces. Sources without a positive target come last, in the
@@ -39,9 +42,10 @@ from panelwright.llm.scratch import discard, materialise
 LENGTH, WINDOW, END_ID = 1024, 64, 0
 #: Queue totals by partition that may be broadcast; beyond it the same join shuffles.
 BROADCAST_TOTALS = 200_000
-#: Sources are the queues of the mixture, whose totals and targets the driver holds; where there are more, those without
-#: a target of their own share so many queues.
+#: Sources whose totals the driver holds; where there are more, those without a target of their own are interleaved by Spark.
 MAX_SOURCES = 10_000
+#: The queue of the sources that Spark interleaves, and its slots whose sizes are summed in one task.
+REST, BLOCK = "rest\0", 4096
 
 #: Texts of these characters alone are encoded by tiktoken, several times faster from the same vocabulary.
 _PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-ɏ]")
@@ -189,6 +193,38 @@ class Layout:
             done += length
 
 
+def slotted(rows: DataFrame, total: int, size: int) -> DataFrame:
+    """doc_id, source, first, count, ids, skip, doc_tokens: the pieces of (doc_id, source, t, of, n, ids) in their queue's order.
+
+    t is where a document begins among the ``of`` tokens of its source. Token t of a source is due at (2 t + 1) / (2 of) of the
+    queue's ``total`` tokens, and in the slot of ``size`` that this falls in; a document is cut where its tokens' slot changes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple[list, ...] = tuple([] for _ in range(8))
+            for doc_id, source, t, of, n, ids in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                width, at = len(ids) // n, 0
+                while at < n:
+                    slot = (2 * (t + at) + 1) * total // (2 * of * size)
+                    end = min(n, -((total - 2 * of * size * (slot + 1)) // (2 * total)) - t)  # the first token of the next slot
+                    for to, x in zip(out, (slot, doc_id, source, t + at, end - at, at, n, ids[at * width : end * width]), strict=True):
+                        to.append(x)
+                    at = end
+            kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 4, pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["slot", "doc_id", "source", "t", "count", "skip", "doc_tokens", "ids"])
+
+    schema = "slot long, doc_id long, source string, t long, count long, skip long, doc_tokens long, ids binary"
+    cut = materialise(rows.select("doc_id", "source", "t", "of", "n", "ids").mapInArrow(run, schema), "slotted")
+    sizes = materialise(cut.groupBy("slot").agg(F.sum("count").alias("size")).withColumn("block", F.floor(F.col("slot") / BLOCK)), "sizes")
+    before = lambda w: F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = sizes.groupBy("block").agg(F.sum("size").alias("size")).select("block", before(Window.orderBy("block")).alias("blocks"))
+    begins = sizes.withColumn("inner", before(Window.partitionBy("block").orderBy("slot"))).join(F.broadcast(blocks), "block").select("slot", (F.col("blocks") + F.col("inner")).alias("begin"))
+    within = Window.partitionBy("slot").orderBy("source", "t")
+    placed = cut.withColumn("inner", F.sum("count").over(within) - F.col("count")).join(begins, "slot")
+    return placed.select("doc_id", "source", (F.col("begin") + F.col("inner")).alias("first"), "count", "ids", "skip", "doc_tokens")
+
+
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", targets: dict[str, float] | None = None, length: int = LENGTH, window: int = WINDOW, keep_ids: bool = True) -> DataFrame:
     """doc_id, source, start, length, ids (array of int), ids_crc32, doc_tokens, sequence_id, offset: a row per piece.
 
@@ -198,13 +234,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     tokens = materialise(encoded(docs, id_col, text_col, source_col), "tokens")
     parts = tokens.groupBy("part", "source").agg(F.sum("n").alias("total"))
     parts = materialise(parts, "parts")
-    queue = F.col("source")
-    if parts.select("source").distinct().count() > MAX_SOURCES:
-        queue = F.when(queue.isin(list(targets or ())), queue).otherwise(F.concat(F.lit("pool\0"), F.pmod(F.xxhash64("source"), F.lit(MAX_SOURCES))))
-    before = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = materialise(parts.withColumn("queue", queue).withColumn("begin", F.coalesce(F.sum("total").over(before), F.lit(0))), "begins")
+    many, wanted = parts.select("source").distinct().count() > MAX_SOURCES, list(targets or ())
+    queue = F.when(F.col("source").isin(wanted), F.col("source")).otherwise(F.lit(REST)) if many else F.col("source")
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    summed = parts.withColumn("queue", queue).withColumn("begin", F.coalesce(F.sum("total").over(before), F.lit(0))).withColumn("of", F.sum("total").over(Window.partitionBy("source")))
+    begins = materialise(summed, "begins")
     discard(parts)
-    queues = begins.groupBy("queue").agg(F.sum("total").alias("total")).orderBy("queue").collect()  # MAX_SOURCES and the targets at most
+    queues = begins.groupBy("queue").agg(F.sum("total").alias("total")).orderBy("queue").collect()  # MAX_SOURCES, or the targets and one more, at most
     rank = {r["queue"]: i for i, r in enumerate(queues)}
     phases = plan_phases([r["total"] for r in queues], None if targets is None else [float(targets.get(r["queue"], 0)) for r in queues])
 
@@ -216,8 +252,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     def cut(batch: pa.RecordBatch, layout: Layout) -> Iterator[pa.RecordBatch]:
         rows = {k: [] for k in ("doc_id", "source", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")}
-        doc_ids, sources, names, firsts, counts = (batch.column(i).to_pylist() for i in range(5))
-        for doc_id, source, name, at, n, packed in zip(doc_ids, sources, names, firsts, counts, batch.column(5), strict=True):
+        for *row, packed in zip(*(batch.column(i).to_pylist() for i in range(7)), batch.column(7), strict=True):
+            doc_id, source, name, at, n, skip, doc_tokens = row
             data = packed.as_buffer()
             ids = np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype("<u4")
             for start, size, position in layout.runs(rank[name], at, n):
@@ -226,11 +262,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                     piece = ids[start : start + part]
                     rows["doc_id"].append(doc_id)
                     rows["source"].append(source)
-                    rows["start"].append(start)
+                    rows["start"].append(skip + start)
                     rows["length"].append(part)
                     rows["ids"].append(piece if keep_ids else piece[:0])
                     rows["ids_crc32"].append(zlib.crc32(piece.tobytes()))
-                    rows["doc_tokens"].append(n)
+                    rows["doc_tokens"].append(doc_tokens)
                     rows["sequence_id"].append(position // length)
                     rows["offset"].append(position % length)
                     start, size, position = start + part, size - part, position + part
@@ -241,7 +277,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         yield pa.RecordBatch.from_arrays(columns, list(rows))
 
     small = begins.count() <= BROADCAST_TOTALS
-    side = begins.select("part", "source", "queue", "begin")
-    placed = tokens.join(F.broadcast(side) if small else side, ["part", "source"]).select("doc_id", "source", "queue", (F.col("begin") + F.col("at")).alias("first"), "n", "ids")
+    side = begins.select("part", "source", "queue", "begin", "of")
+    met = tokens.join(F.broadcast(side) if small else side, ["part", "source"]).withColumn("t", F.col("begin") + F.col("at"))
+    columns = ["doc_id", "source", "queue", "first", "count", "skip", "doc_tokens", "ids"]
+    placed = met.where(F.col("queue") != REST).select("doc_id", "source", "queue", F.col("t").alias("first"), F.col("n").alias("count"), F.lit(0).cast("long").alias("skip"), F.col("n").alias("doc_tokens"), "ids")
+    if many and REST in rank:
+        placed = placed.unionByName(slotted(met.where(F.col("queue") == REST), queues[rank[REST]]["total"], length).withColumn("queue", F.lit(REST)).select(columns))
     schema = "doc_id long, source string, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return placed.mapInArrow(run, schema)

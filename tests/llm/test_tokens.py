@@ -66,6 +66,32 @@ def test_more_sources_than_queues(spark, monkeypatch, targets):
     assert all(n == 64 for n in lengths[:-1])
 
 
+def test_windows_hold_the_shares_of_very_many_sources(spark, monkeypatch):
+    """Half the tokens are one source's, the rest several hundred's, far beyond the bound; every place is as plain Python puts it."""
+    monkeypatch.setattr("panelwright.llm.packing.MAX_SOURCES", 3)
+    monkeypatch.setattr("panelwright.llm.packing.BLOCK", 4)
+    rows = [(i, "word " * (i % 5 + 1) * (200 if i % 60 == 0 else 1), "hot" if i % 60 == 0 else f"s{i % 400}") for i in range(1500)]
+    pieces = pack(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5), length=64, window=8).collect()
+    total, of = 0, defaultdict(int)
+    for p in pieces:
+        total, of[p["source"]] = total + p["length"], of[p["source"]] + p["length"]
+    windows, begins = defaultdict(lambda: defaultdict(int)), defaultdict(list)
+    for p in pieces:
+        windows[p["sequence_id"] // 8][p["source"]] += p["length"]
+        begins[p["source"]].append((p["sequence_id"] * 64 + p["offset"], p["length"]))
+    for w in range(total // 512):
+        for s in of:
+            assert abs(windows[w][s] - 512 * of[s] / total) <= 2 + 2 * 64 * of[s] / total + len(of) * of[s] / total
+    # the stream is that of all tokens by slot, source and place in their source
+    stream = sorted(((2 * t + 1) * total // (2 * of[s] * 64), s, t) for s in of for t in range(of[s]))
+    place = {(s, t): i for i, (_, s, t) in enumerate(stream)}
+    for s, own in begins.items():
+        at = 0
+        for position, n in sorted(own):
+            assert [place[s, at + i] for i in range(n)] == list(range(position, position + n))
+            at += n
+
+
 def test_windows_hold_their_shares(spark):
     """Each window of registered production form holds each source's target to within a token a source."""
     r = random.Random(5)
