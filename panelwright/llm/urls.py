@@ -16,6 +16,7 @@ import random
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -147,9 +148,15 @@ def train(labelled: DataFrame, rows: int = LABELLED_ROWS, epochs: int = 8, rate:
     return UrlModel(weights, bias)
 
 
+@lru_cache(maxsize=1)
+def _default_model(rows: int, seed: int) -> UrlModel:
+    """The classifier of the written table, trained once in a driver."""
+    return train(labelled_urls(SparkSession.active(), seed, rows))
+
+
 def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", model: UrlModel | None = None, block_from: float = BLOCK_FROM) -> DataFrame:
     """page_id, host, path, rule (null without one), verdict (allow or block), score (of the model, for every row)."""
-    found = model or train(labelled_urls(pages.sparkSession))
+    found = model or _default_model(16_000, 11)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
