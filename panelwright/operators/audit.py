@@ -51,3 +51,21 @@ def upload_report(df: DataFrame, required: list[str], key: list[str], data_type:
     twice = df.groupBy(key).count().where("count > 1").agg(F.count(F.lit(1)).alias("n")).select(F.lit("duplicate keys").alias("problem"), "n")
     ahead = df.agg(F.count_if(F.col(data_type) == "forecast").alias("n")).where("n = 0").select(F.lit("no forecasts").alias("problem"), F.lit(1).cast("long").alias("n"))
     return missing.unionByName(holes).unionByName(twice).unionByName(ahead).where("n > 0")
+
+
+def change_overlay(registry: DataFrame, places: dict[str, str], names: dict[str, str], source: str = "source", indicator: str = "indicator") -> DataFrame:
+    """indicator, place, changed and max_period: whether any source of a place brought new data for an indicator, and how far it reaches.
+
+    registry: source, indicator, hash, previous_hash, max_period. places maps sources to places, names joins variants of an
+    indicator; sources without a place are left out. A source seen for the first time counts as changed.
+    """
+    of = lambda c, m: F.coalesce(F.create_map(*[F.lit(x) for pair in m.items() for x in pair])[F.col(c)], F.lit(None)) if m else F.lit(None).cast("string")
+    rows = registry.withColumn("place", of(source, places)).where(F.col("place").isNotNull()).withColumn("_indicator", F.coalesce(of(indicator, names), F.col(indicator)))
+    changed = F.bool_or(~F.col("hash").eqNullSafe(F.col("previous_hash")))
+    return rows.groupBy(F.col("_indicator").alias(indicator), "place").agg(changed.alias("changed"), F.max("max_period").alias("max_period"))
+
+
+def recipients(people: DataFrame, failed: bool) -> DataFrame:
+    """Those who want this run's report: enabled, and either every run's or, as it failed, that of failed ones."""
+    wanted = F.col("weekly_report") | (F.col("failures_only") & F.lit(failed))
+    return people.where(F.col("enabled") & F.coalesce(wanted, F.lit(False)))

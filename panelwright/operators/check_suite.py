@@ -163,3 +163,23 @@ def gaps(suite: Suite, by: list[str], period: Column) -> Suite:
 
 def comovement(suite: Suite, by: list[str], a: Column, b: Column, least: float, severity: str, rows: int = 5) -> Suite:
     return suite.group("comovement", by, {"r": (F.corr, (a, b)), "n": (F.count, a)}, lambda x: (x["n"] > rows) & (x["r"] < least), lambda x: x["r"], least, severity)
+
+
+def plausible(suite: Suite, key: list[str], value: Column, low: float, high: float) -> Suite:
+    """Derived values that are missing or NaN, negative, or outside their plausible range: warnings all."""
+    missing = value.isNull() | F.isnan(value)
+    suite.row("missing", key, missing, value, None, "warning").row("negative", key, (value < 0) & ~missing, value, 0, "warning")
+    return suite.row("implausible", key, ~missing & (value >= 0) & ((value < low) | (value > high)), value, F.when(value > high, F.lit(high)).otherwise(F.lit(low)), "warning")
+
+
+def terminal(suite: Suite, by: list[str], last: int, most: dict[str, float], metric: str = "metric", value: str = "value", period: str = "period") -> Suite:
+    """The largest value of each metric in the last period, where it is over what ``most`` says."""
+    for name, limit in most.items():
+        at = F.when((F.col(metric) == name) & (F.col(period) == last), F.col(value))
+        suite.group(f"terminal_{name}", by, {"m": (F.max, at)}, lambda a, limit=limit: a["m"] > limit, lambda a: a["m"], limit, "warning")
+    return suite
+
+
+def growth_of_ratio(suite: Suite, key: list[str], now: Column, last: Column, low: float = -5.0, high: float = 10.0) -> Suite:
+    """A ratio of two metrics, such as output per job, that grows by less than ``low`` or more than ``high`` percent."""
+    return change(suite, "ratio_growth", key, now, last, low, high, scale=100.0, severity="warning")

@@ -130,3 +130,13 @@ def simulated_ratio(df: DataFrame, keys: list[str], draws: int = 5000, rho: floa
                 yield pd.concat([part.drop(columns="_seed"), values], axis=1)
 
     return marked.mapInPandas(run, schema)
+
+
+def magnitude_rescaled(value: Column, below: float, by: float) -> Column:
+    """A value that is positive but below what its unit allows was given in a larger unit, and is brought to the smaller one."""
+    return F.when((value > 0) & (value < below), value * by).otherwise(value)
+
+
+def unit_checked(value: Column, most: float = 1e7) -> Column:
+    """``value``, or an error that stops the run if its size shows a wrong unit."""
+    return F.when(F.abs(value) < most, value).when(value.isNull(), value).otherwise(F.raise_error(F.concat(F.lit("a ratio's unit is wrong: "), value.cast("string"))).cast("double"))

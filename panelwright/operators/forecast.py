@@ -165,3 +165,11 @@ def assumed_path(periods: DataFrame, steps: DataFrame, key: list[str], period: s
     at = F.element_at(F.filter("_steps", lambda s: s["p"] <= F.col(period)), -1)
     out = periods.join(curve, key).withColumn(value, F.when(F.exists("_steps", lambda s: s["p"] <= F.col(period)), at["v"])).drop("_steps")
     return out.withColumn("lo", F.col(value) - band).withColumn("hi", F.col(value) + band).withColumn("method", F.lit("assumed"))
+
+
+def history_quality(df: DataFrame, series: list[str], value: str = "value", period: str = "period") -> DataFrame:
+    """n_series, n_gaps (steps of more than a period) and mean_history (values a series) of the rows that have a value."""
+    w = Window.partitionBy(*series).orderBy(period)
+    steps = df.where(F.col(value).isNotNull()).withColumn("_step", F.col(period) - F.lag(period).over(w))
+    by_series = steps.groupBy(*series).agg(F.count_if(F.col("_step") > 1).alias("_gaps"), F.count(F.lit(1)).alias("_n"))
+    return by_series.agg(F.count(F.lit(1)).alias("n_series"), F.coalesce(F.sum("_gaps"), F.lit(0)).alias("n_gaps"), F.avg("_n").alias("mean_history"))

@@ -44,6 +44,15 @@ def known_codes(df: DataFrame, codes: DataFrame, code: str) -> DataFrame:
     return df.join(codes.select(code).distinct(), code, "left_semi")
 
 
+def canonical(df: DataFrame, names: DataFrame, code: str, name: str) -> DataFrame:
+    """The rows whose code is in ``names`` (code, name), with its name there, or their own where it has none.
+
+    Of several names of a code the smallest counts.
+    """
+    official = names.groupBy(code).agg(F.min(name).alias("_official"))
+    return df.join(official, code).withColumn(name, F.coalesce("_official", name)).select(df.columns)
+
+
 def match_rate(df: DataFrame, codes: DataFrame, code: str) -> DataFrame:
     """n, matched, rate of the rows whose code is known."""
     marked = df.join(codes.select(code).distinct().withColumn("_known", F.lit(1)), code, "left")

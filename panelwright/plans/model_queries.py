@@ -323,11 +323,17 @@ def structure_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("check").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(" SELECT 0::BIGINT AS issues, true AS passed")
+@query(
+    """+ start AS (SELECT entity, metric, arg_max(value, period) AS start FROM panel WHERE period < 2000 GROUP BY 1, 2), ahead AS (SELECT p.*, start, row_number() OVER (PARTITION BY entity, metric ORDER BY p.period) AS i FROM panel p JOIN start USING (entity, metric) WHERE p.period >= 2000),
+    one AS (SELECT entity, metric, greatest(least(value, start * 1.06::DOUBLE), start * 0.95::DOUBLE) AS a FROM ahead WHERE i = 1), two AS (SELECT n.entity, n.metric, one.a AS last, CASE WHEN n.entity LIKE '%2' THEN n.value ELSE greatest(least(n.value, one.a * 1.06::DOUBLE), one.a * 0.95::DOUBLE) END AS now FROM ahead n JOIN one USING (entity, metric) WHERE i = 2)
+    SELECT count(*) FILTER (WHERE now / last - 1 > 0.061::DOUBLE OR now / last - 1 < -0.051::DOUBLE) AS issues, count(*) FILTER (WHERE now / last - 1 > 0.061::DOUBLE OR now / last - 1 < -0.051::DOUBLE) = 0 AS passed FROM two"""
+)
 def caps_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate on capped series, of which some got their last value back as it was before the cap."""
     rows = _ahead(spark, sf_dir).withColumn("low", F.lit(-0.05)).withColumn("high", F.lit(0.06))
     capped = ordered.growth_capped(rows, _KEYS, "start", "low", "high")
-    return checks.gate(checks.caps_honoured(capped, _KEYS, -0.05, 0.06)).select("issues", "passed")
+    faulty = capped.withColumn("adjusted", F.when(F.col("entity").like("%2") & (F.col("period") == 2001), F.col("value")).otherwise(F.col("adjusted")))
+    return checks.gate(checks.caps_honoured(faulty, _KEYS, -0.05, 0.06)).select("issues", "passed")
 
 
 @query(" SELECT data_type AS method, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 8) AS share FROM split GROUP BY 1")
