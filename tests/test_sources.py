@@ -88,3 +88,26 @@ def test_windowed_sums(spark):
     df = spark.createDataFrame([("a", "2020-01-01 00:05:00", 1.0), ("a", "2020-01-01 00:50:00", 2.0), ("a", "2020-01-01 01:00:00", 4.0)], "k string, t string, v double").withColumn("t", F.to_timestamp("t"))
     out = revisions.windowed_sums(df, "t", "1 hour", "10 minutes", ["k"], "v")
     assert sorted((x["n"], x["total"]) for x in out.collect()) == [(1, 4.0), (2, 3.0)]
+
+
+def test_jdbc_export_replaces_rows(spark):
+    from panelwright.sources.tables import export_jdbc
+
+    url = "jdbc:derby:memory:exports;create=true"
+    for rows in ([(1, "a"), (2, "b")], [(3, "c")]):
+        export_jdbc(spark.createDataFrame(rows, "k int, v string"), url, "kept", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    found = spark.read.jdbc(url, "kept", properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    assert [(r["k"], r["v"]) for r in found.select(*[found[c].alias(c.lower()) for c in found.columns]).collect()] == [(3, "c")]
+
+
+def test_units_stop_a_run_and_magnitudes_are_rescaled(spark):
+    from pyspark.sql import functions as F
+
+    from panelwright.operators import derived
+
+    df = spark.createDataFrame([(5.0,), (250_000.0,), (None,), (-3.0,), (0.0,)], "v double")
+    out = [r["v"] for r in df.select(derived.magnitude_rescaled(F.col("v"), 100_000, 1000).alias("v")).collect()]
+    assert out == [5000.0, 250_000.0, None, -3.0, 0.0]
+    assert [r["v"] for r in df.select(derived.unit_checked(F.col("v"), 1e6).alias("v")).collect()] == [5.0, 250_000.0, None, -3.0, 0.0]
+    with pytest.raises(Exception, match="unit is wrong"):
+        df.select(derived.unit_checked(F.col("v"), 1e5)).collect()
