@@ -28,10 +28,12 @@ def kept(df: DataFrame) -> DataFrame:
     The folder is the one that spark.checkpoint.dir names; only a session within one process may leave it unset.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
+        context.setCheckpointDir(folder or "/tmp/checkpoints")
     held = df.persist()  # else checkpointing works it out twice
     out = held.checkpoint()
     held.unpersist()
