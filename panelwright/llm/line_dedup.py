@@ -47,7 +47,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """doc_id, digest, covered: for each document that loses lines, the merged ranges (first, last) of line numbers.
 
     First occurrences are found by an aggregate that is combined before the shuffle, and only windows that occur more
-    than once are joined back, so that neither a frequent window nor a frequent document gathers in a task.
+    than once are joined back. A very frequent window is a skewed key of that join, which adaptive execution splits.
     """
     every = line_windows(docs, id_col, text_col, lines)
     place = F.struct("doc_id", "digest", "first")
