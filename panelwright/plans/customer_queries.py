@@ -178,23 +178,23 @@ def assumed_policy_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 def planted_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every check on rows into which its fault was put, compiled into one pass."""
     ahead = lambda low, high: F.when(F.col("period") >= 2000, F.col("value") * F.when(F.col("entity") % 79 == 0, high).otherwise(low))
-    panel_rows = fx.customer_panel(spark, sf_dir)
-    base = panel_rows.select("entity", "metric", "period", F.expr("CASE WHEN entity % 97 = 0 AND period = 1998 THEN NULL WHEN entity % 83 = 0 AND period = 1997 THEN -value ELSE value END AS value"), F.when(F.col("period") >= 2000, "forecast").otherwise("historical").alias("data_type"), ahead(0.4, 1.6).alias("lo"), ahead(1.6, 0.4).alias("hi"))
-    rows = base.unionByName(base.where("entity % 89 = 0 AND period = 1996"))
-    # the panel itself, for the steps, stands in columns beside the faulty rows; a customer's year has its orders in its revenue row
-    at = Window.partitionBy("entity", "period")
-    clean = panel_rows.withColumn("part", F.max(F.when(F.col("metric") == "orders", F.col("value"))).over(at)).selectExpr("entity", "metric", "period", "value AS clean", "CASE WHEN metric = 'revenue' THEN part * CASE WHEN entity % 73 = 0 THEN 1000000 ELSE 1 END END AS part")
-    every = cs.tagged(rows=rows, clean=clean)
+    # each row has its true value beside the faulty one, a revenue row its year's orders too; a repeated row is a copy without them
+    part = F.max(F.when(F.col("metric") == "orders", F.col("value"))).over(Window.partitionBy("entity", "period"))
+    rows = fx.customer_panel(spark, sf_dir).withColumn("part", part).select(
+        "entity", "metric", "period", F.expr("CASE WHEN entity % 97 = 0 AND period = 1998 THEN NULL WHEN entity % 83 = 0 AND period = 1997 THEN -value ELSE value END AS value"),
+        F.when(F.col("period") >= 2000, "forecast").otherwise("historical").alias("data_type"), ahead(0.4, 1.6).alias("lo"), ahead(1.6, 0.4).alias("hi"), F.col("value").alias("clean"),
+        F.expr("CASE WHEN metric = 'revenue' THEN part * CASE WHEN entity % 73 = 0 THEN 1000000 ELSE 1 END END AS part"), F.explode(F.expr("sequence(0, CASE WHEN entity % 89 = 0 AND period = 1996 THEN 1 ELSE 0 END)")).alias("copy"),
+    )
+    only = lambda c: F.when(F.col("copy") == 0, F.col(c)).alias(c)
+    rows = rows.select("entity", "metric", "period", "value", "data_type", "lo", "hi", only("clean"), only("part"), "copy")
     share, series, cell = F.col("part") / F.nullif(F.col("clean"), F.lit(0.0)), ["entity", "metric"], ["entity", "period"]
-    s = cs.Suite().step("last", ["table", *series], "period", F.col("clean"))
-    faulty = F.col("table") == "rows"
-    s = s.group("nulls", series, {"n": cs.rows_of(faulty & F.col("value").isNull())}, lambda a: a["n"] > 0, lambda a: a["n"], 0)
-    s = cs.interval_order(cs.negatives(cs.duplicates(s, [*series, "period"], faulty), series), series)
+    s = cs.Suite().step("last", ["copy", *series], "period", F.col("clean"))
+    s = cs.interval_order(cs.negatives(cs.duplicates(cs.nulls(s, series), [*series, "period"]), series), series)
     s = cs.interval_width(s, ["metric"], 50.0, checks.WARNING)
     s = s.group("vintage_gap", series, {"a": (F.max, F.when(F.col("data_type") == "historical", F.col("period"))), "b": (F.min, F.when(F.col("data_type") == "forecast", F.col("period")))}, lambda a: a["b"] - a["a"] != 1, lambda a: a["b"] - a["a"], 1)
     s = cs.change(s, "caps_honoured", [*series, "period"], F.col("clean"), F.col("last"), -0.05, 0.06, slack=0.001)
     s = s.row("part_over_whole", cell, F.col("part") > F.col("clean"), share, 1.0).row("part_of_whole", cell, (share < 0) | (share > 0.5), share, 0.5, checks.WARNING)
-    found = s.run(every)
+    found = s.run(rows)
     return found.groupBy("check", "severity").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("measured"), 4).alias("worst"))
 
 
