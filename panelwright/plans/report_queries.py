@@ -102,3 +102,18 @@ def weighted_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 def changes_out_of_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = ordered.year_on_year(fx.customer_panel(spark, sf_dir), _KEYS, ["orders"])
     return ordered.outside(changed, "change", -60, 250).select(*_KEYS, "period", r("change", 6))
+
+
+@query(
+    """+ wide AS (SELECT entity, period, max(value) FILTER (WHERE metric = 'revenue') AS a, max(value) FILTER (WHERE metric = 'orders') AS b FROM panel GROUP BY 1, 2), u AS (SELECT entity, period, a, b, i, (('0x' || substr(md5(concat_ws(':', entity, period, 42, i, 1)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u1,
+      (('0x' || substr(md5(concat_ws(':', entity, period, 42, i, 2)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u2 FROM wide, range(1, 401) t(i)),
+    n AS (SELECT *, sqrt(-2 * ln(u1)) * cos(2 * pi() * u2) AS x, sqrt(-2 * ln(u1)) * sin(2 * pi() * u2) AS y FROM u), d AS (SELECT entity, period, (a + a * 0.05::DOUBLE * x) AS top, b + b * 0.02::DOUBLE * (0.7::DOUBLE * x + sqrt(1 - 0.7::DOUBLE * 0.7::DOUBLE) * y) AS bottom FROM n),
+    q AS (SELECT entity, period, top / bottom AS q FROM d WHERE top > 0 AND bottom > 0), s AS (SELECT *, avg(q) OVER w AS m, stddev_pop(q) OVER w AS s FROM q WINDOW w AS (PARTITION BY entity, period))
+    SELECT entity, period, round(avg(q), 3) AS mc_value, round(quantile_cont(q, 0.025), 3) AS mc_lo, round(quantile_cont(q, 0.975), 3) AS mc_hi FROM s WHERE abs(q - m) <= 5 * s GROUP BY 1, 2"""
+)
+def drawn_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simulated ratios of correlated sides, from draws that SQL repeats."""
+    of = lambda m: F.max(F.when(F.col("metric") == m, F.col("value")))
+    wide = fx.panel(spark, sf_dir).groupBy("entity", "period").agg(of("revenue").alias("a"), of("orders").alias("b"))
+    rows = wide.withColumn("sa", F.col("a") * 0.05).withColumn("sb", F.col("b") * 0.02)
+    return derived.drawn_ratio(rows, ["entity", "period"], draws=400, rho=0.7).select("entity", "period", r("mc_value", 3), r("mc_lo", 3), r("mc_hi", 3))
