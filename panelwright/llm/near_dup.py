@@ -9,8 +9,12 @@ one. A few parts more than needed are made, so that as many more signatures agre
 that hold least (ordered by size and content, which are the same on both sides where the sets agree).
 
 From there the join is exact without emitting the pairs of a group. Equal sets count as one node. Each node is first
-compared with its leader, the node that most others share signatures with, and what is linked is one component. The
-signatures that still join several components are few; all nodes of such a signature meet one hub b. Let D(x) hold
+compared with its leader, the node that most others share signatures with, and what is linked is one component. Many of
+the signatures that still join several components lie within a passage that otherwise unlike texts share. Sets that reach
+the bound also share one of the rarest elements of either: all elements but as many as the bound keeps in common, ordered by
+how many nodes in doubt hold them, those of a single component first. Nodes that such elements connect are a cluster, and a
+signature's nodes of different clusters are groups of their own. What is left is few; all nodes of a group meet one hub b.
+Let D(x) hold
 what x and b don't share. Linked sets x and y of different components aren't both linked to b, say x isn't. As y differs
 from x in |D(x)| + |D(y)| - 2 |D(x) & D(y)| elements, the bounds for (x, y) and (x, b) leave D(x) and D(y) at least
 
@@ -43,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.graph import joined
+from panelwright.llm.graph import components, joined
 from panelwright.llm.scratch import discard, materialise
 from panelwright.llm.textbytes import cuts, mix, pieces, span_hashes, word_bounds
 
@@ -158,8 +162,11 @@ def document_sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "doc_id long, digest long, n_shingles long, node long")
 
 
-def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int) -> DataFrame:
-    """bucket, packed: (signature, node) of a batch of texts, by bucket; copies within a batch once."""
+def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int, elements: bool = False) -> DataFrame:
+    """bucket, packed: (signature, node) of a batch of texts, by bucket; copies within a batch once.
+
+    With ``elements`` a set's own elements stand in the place of its signatures.
+    """
     n, percent = bound.n, bound.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +192,7 @@ def _packed_signatures(docs: DataFrame, bound: Bound, buckets: int) -> DataFrame
                 if not len(s) or (key := set_key(s)) in seen:
                     continue
                 seen.add(key)
-                held.append(signatures(s, percent))
+                held.append(s if elements else signatures(s, percent))
                 nodes.append((len(held[-1]), key))
                 size += len(held[-1])
                 if size >= SORT_ROWS:
@@ -238,10 +245,10 @@ def _shared(batches: Iterator[pa.RecordBatch], piece: int | None = None) -> Iter
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["signature", "node"])
 
 
-def shared_signatures(texts: DataFrame, bound: Bound, expected: int) -> DataFrame:
+def shared_signatures(texts: DataFrame, bound: Bound, expected: int, elements: bool = False) -> DataFrame:
     """Distinct signature, node. ``expected``: about how many signatures there are; it only sets how finely they are dealt."""
     partitions = max(12, -(-expected // PARTITION_ROWS))
-    packed = _packed_signatures(texts, bound, 8 * partitions)
+    packed = _packed_signatures(texts, bound, 8 * partitions, elements)
     piece = SORT_ROWS
     return packed.repartition(partitions, "bucket").select("packed").mapInArrow(lambda b: _shared(b, piece), "signature long, node long").distinct()
 
@@ -317,6 +324,29 @@ def _unresolved(members: DataFrame, label: DataFrame | None) -> DataFrame:
     return out.join(several, "signature", "left_semi")
 
 
+def _clustered(rows: DataFrame, texts: DataFrame, label: DataFrame, bound: Bound) -> DataFrame:
+    """``rows`` (signature, node, component), a signature now standing for a signature and a cluster, where several components are left."""
+    nodes = materialise(rows.select("node", "component").distinct(), "nodes")
+    chosen = texts.join(_few(nodes), "node")
+    total = chosen.agg(F.sum("size")).first()[0] or 0
+    shared = materialise(shared_signatures(chosen.select("text"), bound, total, elements=True).withColumnRenamed("signature", "element"), "shared")
+    held = shared.join(_few(nodes), "node")
+    often = held.groupBy("element").agg(F.count(F.lit(1)).alias("times"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("element", "times")
+    own = Window.partitionBy("node")
+    rank, common = F.row_number().over(own.orderBy("times", "element")), F.count(F.lit(1)).over(own)
+    # elements that one component holds come first: no pair in question shares them
+    ranked = shared.join(often, "element").withColumn("common", common).withColumn("rank", rank).join(texts.select("node", "size"), "node")
+    within = ranked.where(F.col("size") - F.col("common") + F.col("rank") <= F.floor((100 - bound.percent) * F.col("size") / 100) + 1)
+    rarest = materialise(within.select("element", "node"), "rarest")
+    first = rarest.groupBy("element").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select("element", "first")
+    edges = rarest.join(first, "element").where("first <> node").select("first", "node")
+    clusters = components(edges, "first", "node").withColumnRenamed("component", "cluster")
+    split = rows.join(_few(clusters), "node").select(F.xxhash64("signature", "cluster").alias("signature"), "node")
+    out = materialise(_unresolved(split, label).drop("component"), "clustered")
+    discard(nodes, shared, rarest)
+    return out
+
+
 def _prefixes(checked: DataFrame, bound: Bound) -> DataFrame:
     """hub, signature, node, component, size, far, near of (hub, node, linked, size, hub_size, diff, component).
 
@@ -387,7 +417,11 @@ def _links(members: DataFrame, texts: DataFrame, bound: Bound) -> tuple[DataFram
     done = compared(leaders.where("leader <> node").select(F.col("leader").alias("hub"), "node"), texts, bound, differences=False)
     links = [materialise(done.where("linked").select("hub", "node"), "links")]
     label = joined(None, links[0], "hub", "node")
-    rows = materialise(_unresolved(members, label).drop("component"), "unresolved")
+    doubtful = materialise(_unresolved(members, label), "unresolved")
+    rows = _clustered(doubtful, texts, label, bound)
+    discard(doubtful, weight, leaders)
+    weight, leaders = _leaders(rows)
+    leaders = materialise(leaders, "leaders")
     hubs = rows.join(_few(leaders), "node").groupBy("signature").agg(F.max(F.struct("weight", "leader")).alias("top")).select("signature", F.col("top.leader").alias("hub"))
 
     while not rows.isEmpty():
@@ -439,12 +473,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _texts(plain: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
-    """node, text: a text of each node of ``members``, that of the row with the smallest id and hash."""
+    """node, size, text: a text of each node of ``members``, that of the row with the smallest id and hash."""
     wanted = materialise(members.select("node").distinct(), "wanted")
     owner = F.min(F.struct("doc_id", "digest")).alias("owner")
-    owners = materialise(sets.join(_few(wanted), "node", "left_semi").groupBy("node").agg(owner).select("node", "owner.*"), "owners")
+    owners = materialise(sets.join(_few(wanted), "node", "left_semi").groupBy("node").agg(owner, F.max("n_shingles").alias("size")).select("node", "size", "owner.*"), "owners")
     same: Column = F.col("p.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("p.digest") == F.col("o.digest"))
-    found = plain.withColumn("digest", F.xxhash64("text")).alias("p").join(_few(owners).alias("o"), same).select("node", "text")
+    found = plain.withColumn("digest", F.xxhash64("text")).alias("p").join(_few(owners).alias("o"), same).select("node", "size", "text")
     return found.dropDuplicates(["node"])
 
 

@@ -116,6 +116,30 @@ def test_near_duplicates_by_rounds_match_brute_force(spark, monkeypatch, direct)
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in found} == brute_classes(texts, bound)
 
 
+def test_texts_that_share_only_a_passage_meet_no_hub(spark, monkeypatch):
+    """The differences from hubs are taken of the texts of families alone, not of all that quote the same passage."""
+    from panelwright.llm import near_dup
+
+    met, compared = [], near_dup.compared
+
+    def counted(pairs, texts, bound, differences=True):
+        met.append(pairs.count() if differences else 0)
+        return compared(pairs, texts, bound, differences)
+
+    monkeypatch.setattr(near_dup, "compared", counted)
+    r = random.Random(23)
+    word = lambda: "".join(r.choices("abcdefgh", k=5))
+    passage, texts = " ".join(word() for _ in range(50)), {}
+    for i in range(150):
+        texts[i] = passage + " " + " ".join(word() for _ in range(60))
+    for i in range(0, 40, 4):
+        for _ in range(3):
+            texts[len(texts)] = family(r, texts[i], r.choice([1, 2, 3]))
+    found = near_duplicates(spark.createDataFrame([(i, t, "x", "y") for i, t in texts.items()], DOCS).repartition(5)).collect()
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in found} == brute_classes(texts, Bound())
+    assert sum(met) <= 40
+
+
 def test_near_duplicates_with_repeated_and_missing_ids(spark):
     a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
     rows = [(5, a), (5, b), (5, a), (7, a + " more"), (3, b + " more"), (None, b), (None, "only here at all times"), (9, None), (None, None)]
