@@ -1,10 +1,13 @@
-"""Toxicity scores by a convolutional text classifier, trained and applied in numpy.
+"""Toxicity scores by a convolutional text classifier, trained and applied in numpy inside tasks.
 
 A word's embedding is the sum of hashed vectors of the word and of its beginnings, so that unseen forms of a known stem
 are recognised. Filters of several widths slide over the words; each keeps its largest response over the whole text,
-and a logistic layer turns those into a score. Only the winning windows carry gradient, so training is fast. It uses
-a bounded sample of labelled rows: at most ``rows`` of each class, those of the smallest hashes of the document id; the
-bias is then corrected for the classes' real shares.
+and a logistic layer turns those into a score. Only the winning windows carry gradient, so training is fast.
+
+Training takes all labelled rows, dealt by hashes of their ids into shards of about ``rows`` texts. In each of a few
+rounds every shard goes on from the same network, a text at a time; Spark then averages what the shards changed, a bucket's
+vector over the shards that met the bucket. The changes are summed as whole numbers, so that neither partitions nor the
+order of the sums matter. Four fifths of the rows fit the network, and the rest set the thresholds.
 
 A score depends on the text alone. The language only chooses the threshold of the flag that comes with it, calibrated
 on rows that the filters weren't fitted to.
@@ -25,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.llm.scratch import cleared, materialise
 from panelwright.llm.textbytes import NOT_LETTERS, cuts, pieces, span_hashes, word_bounds
 
 #: Hash buckets, dimensions of a word, widths of the filters and filters of each width.
@@ -32,15 +36,24 @@ BUCKETS, DIMENSIONS, WIDTHS, FILTERS = 1 << 17, 8, (1, 2, 3), 8
 #: Bytes of the beginnings that are hashed beside the whole word, where the word is longer: a bare stem and a stem that
 #: goes on then differ.
 STEMS = (4, 6, 7)
-#: Passes over the sample: this many at least, and as many more as a small sample needs for so many updates.
-PASSES, UPDATES = 8, 30_000
-#: Labelled rows of each class that training uses at most.
-TRAINING_ROWS = 2500
+#: Passes over the rows: this many at least, and as many more as few rows need for so many updates. Several shards share
+#: them out among so many rounds.
+PASSES, UPDATES, ROUNDS = 8, 30_000, 4
+#: Texts, and bytes of text, of a shard: more rows make more shards.
+SHARD_ROWS, SHARD_BYTES = 5000, 1 << 25
+#: Labels that are broadcast at most to look up their texts; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Changes are added up in units of 1 / SCALE.
+SCALE = 2.0**32
 PREDICT_FROM = 0.7
+#: Cells of the logits (a unit has so many, at most CLIP to either side) by which held rows are counted for the thresholds.
+CELLS, CLIP = 1024, 30
 #: Words whose responses are worked out at once.
 BLOCK_WORDS = 1 << 16
 
 _PAD = BUCKETS  # its vector stays zero
+# a filter and a place of its window, for every place that its width covers
+_FILTER, _PLACE = np.array([(k * FILTERS + f, j) for j in range(max(WIDTHS)) for k, w in enumerate(WIDTHS) if w > j for f in range(FILTERS)]).T
 
 
 def word_features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -64,29 +77,28 @@ def word_features(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 @dataclass
 class Network:
-    """Vectors of the buckets, filters by width (width, dimensions, filters), and the layer over the responses."""
+    """Vectors of the buckets, filters (filter, place, dimension; zero beyond their widths), and the layer over the responses."""
 
     vectors: np.ndarray
-    filters: list[np.ndarray]
-    offsets: list[np.ndarray]
+    filters: np.ndarray
+    offsets: np.ndarray
     weights: np.ndarray
     bias: float
     thresholds: dict[str | None, float] = field(default_factory=dict)
 
     def responses(self, features: np.ndarray) -> np.ndarray:
-        """A row for each place; below any response where no word begins."""
-        x = self.vectors[features].sum(axis=1)
-        projected = x @ np.concatenate([f for filters in self.filters for f in filters], axis=1)
-        out, at = [], 0
-        for filters, offset in zip(self.filters, self.offsets, strict=True):
-            total = np.repeat(offset[None], len(x), axis=0)
-            for j in range(len(filters)):
-                part = projected[j:, at : at + FILTERS]
-                total[: len(part)] += part
-                at += FILTERS
-            out.append(total)
-        out = np.concatenate(out, axis=1)
-        out[features[:, 0] == _PAD] = -1e9
+        """A row for each filter, a column for each place; below any response where no word begins."""
+        found = self.vectors.take(features, axis=0)  # much faster than indexing
+        x = found[:, 0] + found[:, 1]
+        for k in range(2, features.shape[1]):
+            x += found[:, k]
+        projected = self.filters[_FILTER, _PLACE] @ x.T
+        out, at = projected[: len(self.filters)] + self.offsets[:, None], len(self.filters)
+        for j in range(1, max(WIDTHS)):
+            n = FILTERS * sum(w > j for w in WIDTHS)  # the last ones reach so far
+            out[-n:, : max(len(x) - j, 0)] += projected[at : at + n, j:]
+            at += n
+        out[:, np.flatnonzero(features[:, 0] == _PAD)] = -1e9
         return out
 
     def best(self, features: np.ndarray, heads: np.ndarray) -> np.ndarray:
@@ -94,103 +106,183 @@ class Network:
         out = np.zeros((len(heads), FILTERS * len(WIDTHS)), np.float32)
         for first in range(0, len(features), BLOCK_WORDS):
             last = min(first + BLOCK_WORDS, len(features))
-            found = self.responses(features[first : last + max(WIDTHS) - 1])[: last - first]
+            found = self.responses(features[first : last + max(WIDTHS) - 1])[:, : last - first]
             a, b = np.searchsorted(heads, first, side="right") - 1, np.searchsorted(heads, last)
-            out[a:b] = np.maximum(out[a:b], np.maximum.reduceat(found, np.maximum(heads[a:b] - first, 0)))
+            out[a:b] = np.maximum(out[a:b], np.maximum.reduceat(found, np.maximum(heads[a:b] - first, 0), axis=1).T)
         return out
 
+    def logits(self, features: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        return np.clip(self.best(features, heads) @ self.weights + self.bias, -CLIP, CLIP)
+
     def scores(self, features: np.ndarray, heads: np.ndarray) -> np.ndarray:
-        best = self.best(features, heads)
-        return 1 / (1 + np.exp(-np.clip(best @ self.weights + self.bias, -30, 30)))
+        return 1 / (1 + np.exp(-self.logits(features, heads)))
+
+    def rows(self) -> np.ndarray:
+        """All numbers, ``DIMENSIONS`` to a row: a row for each bucket, then the others."""
+        rest = np.concatenate([self.filters.ravel(), self.offsets, self.weights, [self.bias]])
+        return np.concatenate([self.vectors, np.pad(rest, (0, -len(rest) % DIMENSIONS)).reshape(-1, DIMENSIONS)]).astype(np.float32)
+
+
+def from_rows(rows: np.ndarray) -> Network:
+    """The network of these ``rows``; nothing is shared with them."""
+    n, rest = FILTERS * len(WIDTHS), rows[BUCKETS + 1 :].ravel()
+    filters, offsets, weights, bias = np.split(rest, np.cumsum([n * max(WIDTHS) * DIMENSIONS, n, n]))
+    return Network(rows[: BUCKETS + 1].copy(), filters.reshape(n, max(WIDTHS), DIMENSIONS).copy(), offsets.copy(), weights.copy(), float(bias[0]))
 
 
 def fresh(seed: int, bias: float = -2.0) -> Network:
     r = np.random.default_rng(seed)
     vectors = r.normal(0, 0.06, (BUCKETS + 1, DIMENSIONS)).astype(np.float32)  # small: words that training never met hardly respond
     vectors[_PAD] = 0
-    filters = [r.normal(0, 0.5 / np.sqrt(w), (w, DIMENSIONS, FILTERS)).astype(np.float32) for w in WIDTHS]
-    return Network(vectors, filters, [np.zeros(FILTERS, np.float32) for _ in WIDTHS], r.normal(0, 0.3, FILTERS * len(WIDTHS)).astype(np.float32), bias)
+    filters = np.zeros((FILTERS * len(WIDTHS), max(WIDTHS), DIMENSIONS), np.float32)
+    for k, w in enumerate(WIDTHS):
+        filters[k * FILTERS : (k + 1) * FILTERS, :w] = r.normal(0, 0.5 / np.sqrt(w), (w, DIMENSIONS, FILTERS)).transpose(2, 0, 1)
+    return Network(vectors, filters, np.zeros(len(filters), np.float32), r.normal(0, 0.3, len(filters)).astype(np.float32), bias)
+
 
+def start(seed: int) -> np.ndarray:
+    """Rows of a fresh network, beside them those of AdaGrad's sums of squares."""
+    rows = fresh(seed, 0.0).rows()
+    return np.concatenate([rows, np.full(rows.shape, 1e-2, np.float32)], axis=1)
 
-def fit(texts: list[tuple[np.ndarray, float]], rate: float = 0.05, seed: int = 3) -> Network:
-    """AdaGrad over (features, label), a text at a time; heads of a single text are [0]."""
-    net, r = fresh(seed, 0.0), np.random.default_rng(seed)
-    squares = {"v": np.full(net.vectors.shape, 1e-2, np.float32), "w": np.full(net.weights.shape, 1e-2, np.float32), "b": 1e-2}
-    square_f = [np.full(f.shape, 1e-2, np.float32) for f in net.filters]
-    square_o = [np.full(o.shape, 1e-2, np.float32) for o in net.offsets]
-    for _ in range(max(PASSES, -(-UPDATES // max(len(texts), 1)))):
+
+def fit(net: Network, squares: Network, texts: list[tuple[np.ndarray, float]], passes: int, r: np.random.Generator, rate: float = 0.05) -> None:
+    """AdaGrad over (features, label) from where ``net`` and ``squares`` are, a text at a time; heads of a single text are [0]."""
+    vectors, sums, each_place = net.vectors.reshape(-1), squares.vectors.reshape(-1), np.arange(DIMENSIONS)
+    for _ in range(passes):
         for i in r.permutation(len(texts)):
             features, label = texts[i]
             response = net.responses(features)
-            where = response.argmax(axis=0)
-            best = np.maximum(response[where, np.arange(len(where))], 0)
+            where = response.argmax(axis=1)
+            best = np.maximum(response[np.arange(len(where)), where], 0)
             error = float(label - 1 / (1 + np.exp(-np.clip(best @ net.weights + net.bias, -30, 30))))
             back = error * net.weights * (best > 0)
             g = error * best - 1e-5 * net.weights
-            squares["w"] += g * g
-            squares["b"] += error * error
-            net.weights += rate * g / np.sqrt(squares["w"])
-            net.bias += rate * error / np.sqrt(squares["b"])
-            for k, width in enumerate(WIDTHS):
-                part = slice(k * FILTERS, (k + 1) * FILTERS)
-                d = back[part]
-                live = np.flatnonzero(d)
-                if not len(live):
-                    continue
-                words = where[part][live][:, None] + np.arange(width)  # filters by width; padding follows every text
-                buckets = features[words]  # and by feature
-                x = net.vectors[buckets].sum(axis=2)  # filters, width, dimensions
-                gradient = np.zeros_like(net.filters[k])
-                gradient[:, :, live] = (d[live][:, None, None] * x).transpose(1, 2, 0)
-                to_words = d[live][:, None, None] * net.filters[k][:, :, live].transpose(2, 0, 1)
-                square_f[k] += gradient * gradient
-                net.filters[k] += rate * gradient / np.sqrt(square_f[k])
-                square_o[k] += d * d
-                net.offsets[k] += rate * d / np.sqrt(square_o[k])
-                flat = buckets.reshape(-1)
-                each = np.repeat(to_words.reshape(-1, DIMENSIONS), buckets.shape[2], axis=0)
-                np.add.at(squares["v"], flat, each * each)
-                np.add.at(net.vectors, flat, rate * each / np.sqrt(squares["v"][flat]))
-                net.vectors[_PAD] = 0
-    return net
-
-
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """Midway between the neighbouring scores at which the fewest rows are on the wrong side."""
+            squares.weights += g * g
+            squares.bias += error * error
+            net.weights += rate * g / np.sqrt(squares.weights)
+            net.bias += rate * error / np.sqrt(squares.bias)
+            live = np.flatnonzero(back[_FILTER])
+            if not len(live):
+                continue
+            which, place = _FILTER[live], _PLACE[live]
+            d = back[which][:, None]
+            buckets = features[where[which] + place]  # of the winning windows' words; padding follows every text
+            gradient, to_words = d * net.vectors.take(buckets, axis=0).sum(axis=1), d * net.filters[which, place]
+            squares.filters[which, place] += gradient * gradient
+            net.filters[which, place] += rate * gradient / np.sqrt(squares.filters[which, place])
+            squares.offsets += back * back
+            net.offsets += rate * back / np.sqrt(squares.offsets)
+            flat = (buckets.reshape(-1, 1).astype(np.int64) * DIMENSIONS + each_place).reshape(-1)
+            each = np.repeat(to_words, buckets.shape[1], axis=0).reshape(-1)
+            np.add.at(sums, flat, each * each)
+            np.add.at(vectors, flat, rate * each / np.sqrt(sums.take(flat)))
+            net.vectors[_PAD] = 0
+
+
+def best_threshold(scores: np.ndarray, labels: np.ndarray, counts: np.ndarray | None = None, ends: tuple[float, float] = (0.0, 1.0)) -> float:
+    """Midway between the neighbouring scores at which the fewest rows are on the wrong side; ``counts``: rows of each entry."""
     order = np.argsort(-scores, kind="stable")
     s, y = scores[order], labels[order]
-    wrong = np.concatenate([[0], np.cumsum(1 - y)]) + y.sum() - np.concatenate([[0], np.cumsum(y)])
-    wrong[1:-1][s[1:] == s[:-1]] = len(y) + 1
+    n = np.ones(len(s), np.int64) if counts is None else counts[order]
+    wrong = np.concatenate([[0], np.cumsum((1 - y) * n)]) + (y * n).sum() - np.concatenate([[0], np.cumsum(y * n)])
+    wrong[1:-1][s[1:] == s[:-1]] = n.sum() + 1
     k = int(np.argmin(wrong))
-    return float((s[k - 1] if k else 1.0) + (s[k] if k < len(s) else 0.0)) / 2
+    return float((s[k - 1] if k else ends[1]) + (s[k] if k < len(s) else ends[0])) / 2
+
 
+def dealt(rows: DataFrame, shards: int) -> DataFrame:
+    """shard, texts: a row for each shard, with its (y, order, text, lang) in that order."""
+    row = F.struct("y", "order", "text", "lang")
+    by_shard = rows.select(F.pmod(F.xxhash64("order", F.lit(31)), F.lit(shards)).alias("shard"), row.alias("row"))
+    return by_shard.repartition(shards, "shard").groupBy("shard").agg(F.sort_array(F.collect_list("row")).alias("texts"))
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang", order_col: str = "order", rows: int = TRAINING_ROWS, seed: int = 3, shares: dict[int, int] | None = None) -> Network:
-    """Fit on four fifths of the sample, correct the bias by the classes' shares, and set thresholds on the rest.
 
-    ``shares``: how many rows each class has, where ``labelled`` is but a sample; else they are counted. A language with fewer than 10 held rows of either class takes the threshold of all rows, under the key None.
+def _texts(batch: pa.RecordBatch, held: bool) -> Iterator[tuple[int, pa.StructArray, list[np.ndarray]]]:
+    """(shard, rows, features of each) of the rows that thresholds take, or of the others."""
+    for shard, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        rows = rows.values
+        rows = rows.filter(pa.array((rows.field("order").to_numpy() % 5 == 0) == held))
+        found = [x for features, heads in word_features(rows.field("text")) for x in np.split(features, heads[1:])]
+        yield shard, rows, found
+
+
+def one_round(shards: DataFrame, state: np.ndarray, passes: int, seed: int) -> np.ndarray:
+    """``state`` after every shard has gone ``passes`` times over its texts: the mean change of each row where it changed."""
+    columns = [f"c{i}" for i in range(state.shape[1])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, rows, found in _texts(batch, held=False):
+                net, squares = from_rows(state[:, :DIMENSIONS]), from_rows(state[:, DIMENSIONS:])
+                fit(net, squares, list(zip(found, rows.field("y").to_numpy().astype(float), strict=True)), passes, np.random.default_rng(seed + shard))
+                after = np.concatenate([net.rows(), squares.rows()], axis=1)
+                where = np.flatnonzero((after != state).any(axis=1))
+                whole = np.rint((after[where].astype(np.float64) - state[where]) * SCALE).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(where), *(pa.array(c) for c in np.ascontiguousarray(whole.T))], ["row", *columns])
+
+    changes = shards.mapInArrow(run, ", ".join(f"{c} long" for c in ["row", *columns]))
+    means = changes.groupBy("row").agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in columns)).toArrow()
+    out = state.astype(np.float64)
+    if means.num_rows:
+        total = np.stack([means[c].to_numpy() for c in columns], axis=1)
+        out[means["row"].to_numpy()] += total / SCALE / means["n"].to_numpy()[:, None]
+    return out.astype(np.float32)
+
+
+def thresholds(shards: DataFrame, net: Network) -> dict[str | None, float]:
+    """Of each language with at least 10 held rows of either class, and of all rows under None."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, rows, found in _texts(batch, held=True):
+                logits = np.array([net.logits(x, np.array([0]))[0] for x in found], np.float64)
+                yield pa.RecordBatch.from_arrays([rows.field("lang"), rows.field("y"), pa.array(np.rint(logits * CELLS).astype(np.int32))], ["lang", "y", "cell"])
+
+    def best(rows: list) -> float:
+        cells, labels, counts = (np.array([r[c] for r in rows], np.int64) for c in ("cell", "y", "n"))
+        middle = best_threshold(cells, labels, counts, ends=(-(CLIP + 1) * CELLS, (CLIP + 1) * CELLS))
+        return float(1 / (1 + np.exp(-middle / CELLS)))
+
+    counted = materialise(shards.mapInArrow(run, "lang string, y int, cell int").groupBy("lang", "y", "cell").agg(F.count("*").alias("n")), "cells")
+    every = counted.groupBy("y", "cell").agg(F.sum("n").alias("n")).collect()
+    out: dict[str | None, float] = {None: best(every) if every else PREDICT_FROM}
+    enough = counted.groupBy("lang").agg(F.sum(F.col("y") * F.col("n")).alias("ones"), F.sum((1 - F.col("y")) * F.col("n")).alias("zeros")).where(F.least("ones", "zeros") >= 10).select("lang")
+    by_language: dict[str, list] = {}
+    for r in counted.join(enough, "lang").collect():
+        by_language.setdefault(r["lang"], []).append(r)
+    return out | {language: best(by_language[language]) for language in sorted(by_language)}
+
+
+def train(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang", order_col: str = "order", rows: int = SHARD_ROWS, seed: int = 3, shares: dict[int, int] | None = None) -> Network:
+    """Fit on four fifths of all labelled rows, correct the bias by the classes' shares, and set thresholds on the rest.
+
+    ``labelled`` also has the length of each text in a column bytes, so that counting needs no text.
+    ``shares``: how many rows each class has, where some have no text; else they are counted. ``rows``: texts of a shard.
+    A language with fewer than 10 held rows of either class takes the threshold of all rows, under the key None.
     """
     label = F.col(label_col).cast("int")
-    counts = shares if shares is not None else {r[0]: r[1] for r in labelled.where(label.isin(0, 1)).groupBy(label).count().collect()}
+    usable = labelled.where(label.isin(0, 1)).select(label.alias("y"), F.col(order_col).cast("long").alias("order"), F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), "bytes")
+    found = usable.groupBy("y").agg(F.count("*").alias("n"), F.count_if(F.col("order") % 5 != 0).alias("fitted"), F.sum("bytes").alias("bytes")).collect()
+    taken = {y: sum(r["n"] for r in found if r["y"] == y) for y in (0, 1)}
+    counts = shares if shares is not None else taken
     odds = np.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 9))
-    sample = [r for y in (0, 1) for r in labelled.where(label == y).orderBy(order_col).limit(rows).select(text_col, label.alias("y"), lang_col, order_col).collect()]
-    taken = {y: sum(r["y"] == y for r in sample) for y in (0, 1)}
     if not taken[0] or not taken[1]:
         net = fresh(seed, float(odds))
         net.weights[:] = 0
         net.thresholds = {None: 1.0}
         return net
-    texts = [next(word_features(pa.array([r[text_col]], pa.string())))[0] for r in sample]
-    held = np.array([r[order_col] % 5 == 0 for r in sample])
-    net = fit([(x, float(r["y"])) for x, r, h in zip(texts, sample, held, strict=True) if not h], seed=seed)
-    net.bias += float(odds - np.log(taken[1] / taken[0]))
-    scores = np.array([net.scores(x, np.array([0]))[0] for x in texts])
-    labels, languages = np.array([r["y"] for r in sample]), np.array([r[lang_col] or "" for r in sample])
-    net.thresholds = {None: best_threshold(scores[held], labels[held]) if held.any() else PREDICT_FROM}
-    for language in np.unique(languages):
-        own = held & (languages == language)
-        if min(labels[own].sum(), (1 - labels[own]).sum()) >= 10:
-            net.thresholds[str(language)] = best_threshold(scores[own], labels[own])
+    count = max(-(-sum(taken.values()) // rows), -(-sum(r["bytes"] for r in found) // SHARD_BYTES))
+    passes = max(PASSES, -(-UPDATES // max(sum(r["fitted"] for r in found), 1)))
+    rounds = 1 if count == 1 else ROUNDS
+    with cleared():
+        shards = materialise(dealt(usable, count), "shards")
+        state = start(seed)
+        for i in range(rounds):
+            state = one_round(shards, state, -(-passes // rounds), seed + i * count)
+        net = from_rows(state[:, :DIMENSIONS])
+        net.bias += float(odds - np.log(taken[1] / taken[0]))
+        net.thresholds = thresholds(shards, net)
     return net
 
 
@@ -218,17 +310,13 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     )
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", rows: int = TRAINING_ROWS) -> DataFrame:
-    """Train on the labelled rows that aren't held out, then ``score`` every row.
-
-    The sample is chosen from the labels first, so that only its texts are looked up: a broadcast of 2 * rows ids.
-    """
-    usable = labels.where(~held_out(id_col) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("y"), F.abs(F.xxhash64(F.col(id_col), F.lit(29)) % 1_000_003).alias("order"))
-    some = None
-    for y in (0, 1):
-        part = usable.where(F.col("y") == y).orderBy("order", "_id").limit(rows)
-        some = part if some is None else some.unionByName(part)
-    shares = {r[0]: r[1] for r in usable.groupBy("y").count().collect()}
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    net = train(texts.join(F.broadcast(some), "_id").select("text", "lang", F.col("y").alias("toxic"), "order"), rows=rows, shares=shares)
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", rows: int = SHARD_ROWS) -> DataFrame:
+    """Train on all labelled rows that aren't held out, in shards of about ``rows``, then ``score`` every row."""
+    usable = labels.where(~held_out(id_col) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic"), F.abs(F.xxhash64(F.col(id_col), F.lit(29)) % 1_000_003).alias("order"))
+    shares = {r[0]: r[1] for r in usable.groupBy("toxic").count().collect()}
+    text = F.col(text_col).cast("string")
+    texts = docs.where(~held_out(id_col)).select(F.col(id_col).alias("_id"), text.alias("text"), F.col(lang_col).alias("lang"), F.octet_length(F.coalesce(text, F.lit(""))).alias("bytes"))
+    few = sum(shares.values()) <= BROADCAST_ROWS
+    labelled = texts.join(F.broadcast(usable) if few else usable, "_id").select("text", "lang", "toxic", "order", "bytes")
+    net = train(labelled, rows=rows, shares=shares)
     return score(docs, net, id_col, text_col, lang_col)

@@ -52,6 +52,29 @@ def test_more_labels_than_training_takes(spark):
     assert len({x["threshold"] for x in out}) == 1 and 0.02 < out[0]["threshold"] < 0.98
 
 
+def test_every_label_is_learned_from(spark):
+    """Words that only few labelled texts hold are learned, however few texts a shard has."""
+    from panelwright.llm import toxicity as t
+
+    r = random.Random(9)
+    word = lambda n: "".join(r.choices("aeiourstlnmd", k=n))
+    bad = ["x" + word(7) for _ in range(40)]
+    rows = [(i, " ".join([word(r.choice([2, 3, 5])) for _ in range(12)] + [bad[i // 3 % 40]] * (i % 3 == 0)), "en") for i in range(900)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(900)], "doc_id long, toxic int")
+    out = [x for x in t.toxicity(docs, labels, rows=20).collect() if not x["held_out"]]
+    assert np.mean([x["flagged"] for x in out if x["doc_id"] % 3 == 0]) > 0.8
+    assert np.mean([x["flagged"] for x in out if x["doc_id"] % 3]) < 0.1
+
+
+def test_rounds_do_not_depend_on_partitions(spark):
+    from panelwright.llm import toxicity as t
+
+    rows = spark.createDataFrame([(i % 2, i, f"w{i % 7} and w{i % 5}", "en") for i in range(60)], "y int, order long, text string, lang string")
+    state = t.start(3)
+    one, other = (t.one_round(t.dealt(x, 4), state, 2, 3) for x in (rows.repartition(5), rows.coalesce(1)))
+    assert (one == other).all() and (one != state).any()
+
+
 def test_scores_of_long_texts_do_not_depend_on_blocks(monkeypatch):
     import pyarrow as pa
 
